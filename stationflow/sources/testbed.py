@@ -43,7 +43,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         days.cast("long") * 144000 + F.col("l_orderkey") % 1440 * 60 + F.col("l_partkey") % 60
     )
     duration = F.lit(120) + (F.col("l_quantity") * 60).cast("long") + F.col("l_suppkey") % 60
-    base = load(spark, sf_dir, "lineitem").select(
+    return load(spark, sf_dir, "lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_number"),
         F.timestamp_seconds(F.lit(FIRST_EPOCH_SECOND) + seconds).alias("start_time"),
         F.timestamp_seconds(F.lit(FIRST_EPOCH_SECOND) + seconds + duration).alias("end_time"),
@@ -52,7 +52,6 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").alias("line"),
         F.col("l_returnflag").alias("flag"),
     )
-    return base
 
 
 def bronze(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
@@ -74,7 +73,7 @@ def bronze(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
     return df.select("start_time", "end_time", "start_station_id", "end_station_id", "row_number")
 
 
-def _published(df: DataFrame) -> DataFrame:
+def published(df: DataFrame) -> DataFrame:
     """Add the file a trip was published in, and its times as that file shows them.
 
     Trips of the August 2021 file with flag R are dated one month early; line 6 with flag N comes from
@@ -104,12 +103,12 @@ def _text(time: Column, file_name: Column) -> Column:
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw layer: text times, station text, lineage. Line 7 with flag A has no start station, line 7
     with flag N no readable end time."""
-    published = _published(trips(spark, sf_dir))
+    shown = published(trips(spark, sf_dir))
     lost = (F.col("line") == 7) & (F.col("flag") == "A")
     unreadable = (F.col("line") == 7) & (F.col("flag") == "N")
     start_id, end_id, line = F.col("start_station_id"), F.col("end_station_id"), F.col("line")
     file_name = F.col("file_name")
-    return published.select(
+    return shown.select(
         _text(F.col("start_time"), file_name).alias("start_time"),
         F.when(unreadable, F.lit("unknown"))
         .otherwise(_text(F.col("end_time"), file_name))
