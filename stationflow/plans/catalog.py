@@ -117,16 +117,16 @@ def _written_csv(spark: SparkSession, rows: DataFrame, name: str) -> str:
     return path
 
 
-def _csv_eras(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _csv_eras(spark: SparkSession, sf_dir: str, by_month: bool = False) -> tuple[DataFrame, DataFrame]:
     root = fresh_path(spark, "csv")
-    testbed.write_csv(testbed.era_1_rows(spark, sf_dir), f"{root}/era_1")
-    testbed.write_csv(testbed.era_2_rows(spark, sf_dir), f"{root}/era_2")
-    return scan_both_eras(spark, f"{root}/era_1", f"{root}/era_2", recursive=True)
+    testbed.write_csv(testbed.era_1_rows(spark, sf_dir), f"{root}/era_1", by_month)
+    testbed.write_csv(testbed.era_2_rows(spark, sf_dir), f"{root}/era_2", by_month)
+    return scan_both_eras(spark, f"{root}/era_1", f"{root}/era_2", recursive=by_month)
 
 
 def _era_1(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _written_csv(spark, testbed.era_1_rows(spark, sf_dir), "era_1")
-    return scan_csv(spark, path, ERA_1, recursive=True)
+    return scan_csv(spark, path, ERA_1)
 
 
 @query
@@ -162,7 +162,7 @@ def table_roundtrip(spark, sf_dir):
 @query
 def source_lineage(spark, sf_dir):
     """Rows per source folder, from the file path each row carries."""
-    era_1, era_2 = _csv_eras(spark, sf_dir)
+    era_1, era_2 = _csv_eras(spark, sf_dir, by_month=True)
     month = F.regexp_extract("file_path", r"file_month=(\d+)/[^/]+$", 1)
     return (
         harmonize.combine_eras(era_1, era_2)
@@ -235,7 +235,7 @@ def harmonize_era1(spark, sf_dir):
 @query
 def harmonize_era2(spark, sf_dir):
     path = _written_csv(spark, testbed.era_2_rows(spark, sf_dir), "era_2")
-    return harmonize.harmonize(scan_csv(spark, path, ERA_2, recursive=True), ERA_2)
+    return harmonize.harmonize(scan_csv(spark, path, ERA_2), ERA_2)
 
 
 @query
@@ -515,11 +515,12 @@ def train_split_keyed(spark, sf_dir):
 
 def _fitted_metrics(spark, sf_dir, family: str) -> DataFrame:
     lake = _stored_gold(spark, sf_dir)
-    data = training.random_split(read_table(spark, lake.layer("gold")))
+    split = fresh_path(spark, "split")
+    write_table(training.random_split(read_table(spark, lake.layer("gold"))), split, partition_by=["split"])
     estimator = training.family_of(family).estimator(
         "bike_demand", "predicted_bike_demand", CHECK_SETTINGS
     )
-    return training.fit_and_evaluate(estimator, data)[1]
+    return training.fit_and_evaluate(estimator, read_table(spark, split))[1]
 
 
 @query
@@ -661,7 +662,7 @@ def job_ingest(spark, sf_dir):
     lake = LakePaths(fresh_path(spark, "lake"))
     testbed.write_csv(testbed.era_1_rows(spark, sf_dir), lake.csv("era_1"))
     testbed.write_csv(testbed.era_2_rows(spark, sf_dir), lake.csv("era_2"))
-    ingest(spark, lake, recursive=True)
+    ingest(spark, lake)
     return read_table(spark, lake.layer("raw")).select(*TRIP_COLUMNS)
 
 

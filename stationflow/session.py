@@ -34,14 +34,15 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local-mode session without the setting (tests) gets a folder of its own; on a cluster a
     machine-local folder would be lost with its machine, so the missing setting is an error there.
     """
+    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can read")
-    folder = tempfile.mkdtemp(prefix="stationflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    spark.sparkContext.setCheckpointDir(folder)
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can read")
+        folder = tempfile.mkdtemp(prefix="stationflow-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 

@@ -202,11 +202,18 @@ def era_2_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Trip files below ``path``, one folder per month of the first time column."""
+def write_csv(df: DataFrame, path: str, by_month: bool = False) -> None:
+    """Trip files in ``path``, or one folder per month of the trips' start in it.
+
+    The rebalance gives a month about one task, and splits a month too large for one.
+    """
+    if not by_month:
+        df.write.csv(path, header=True)
+        return
     time = "starttime" if "starttime" in df.columns else "started_at"
     month = F.regexp_replace(F.substring(F.col(time), 1, 7), "-", "")
-    df.withColumn("file_month", month).write.partitionBy("file_month").csv(path, header=True)
+    monthly = df.withColumn("file_month", month).hint("rebalance", "file_month")
+    monthly.write.partitionBy("file_month").csv(path, header=True)
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
