@@ -81,9 +81,12 @@ def prediction_column(label: str) -> str:
     return f"predicted_{label}"
 
 
-def _split_of(share: Column, weights: Sequence[float]) -> Column:
+def _split_by_share(data: DataFrame, share: Column, weights: Sequence[float]) -> DataFrame:
+    """``share`` in [0, 1) to a split name; a column of its own first, so that it is drawn only once."""
     train, val = weights[0], weights[0] + weights[1]
-    return F.when(share < train, SPLITS[0]).when(share < val, SPLITS[1]).otherwise(SPLITS[2])
+    drawn = F.col("_share")
+    split = F.when(drawn < train, SPLITS[0]).when(drawn < val, SPLITS[1]).otherwise(SPLITS[2])
+    return data.withColumn("_share", share).withColumn("split", split).drop("_share")
 
 
 def random_split(data: DataFrame, weights: Sequence[float] = SPLIT_WEIGHTS, seed: int = 29) -> DataFrame:
@@ -91,7 +94,7 @@ def random_split(data: DataFrame, weights: Sequence[float] = SPLIT_WEIGHTS, seed
 
     The draw follows each row's place in its partition, so it repeats on a stored table only.
     """
-    return data.withColumn("split", _split_of(F.rand(seed), weights))
+    return _split_by_share(data, F.rand(seed), weights)
 
 
 def keyed_split(data: DataFrame, keys: Sequence[str], weights: Sequence[float] = SPLIT_WEIGHTS) -> DataFrame:
@@ -101,7 +104,7 @@ def keyed_split(data: DataFrame, keys: Sequence[str], weights: Sequence[float] =
     """
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
     share = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") / F.lit(float(2**32))
-    return data.withColumn("split", _split_of(share, weights))
+    return _split_by_share(data, share, weights)
 
 
 def fit_and_evaluate(estimator: Estimator, data: DataFrame) -> tuple[Model, DataFrame]:

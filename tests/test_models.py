@@ -1,0 +1,194 @@
+"""Features, split, training, evaluation, scoring and forecast."""
+
+import math
+from datetime import datetime
+
+import pytest
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from stationflow.functions.cyclic import encode_cycles
+from stationflow.operators import features, forecast, training
+from stationflow.operators.evaluation import evaluate
+from stationflow.plans import forecasting, medallion
+from stationflow.plans import training as jobs
+from stationflow.session import fresh_path
+from stationflow.sources import testbed
+from stationflow.sources.tables import read_table, write_table
+
+SMALL = training.TreeSettings(num_trees=5, max_depth=6, subsampling_rate=0.8, min_instances_per_node=5)
+
+
+@pytest.fixture(scope="module")
+def lake(spark, sf_dir):
+    lake = medallion.LakePaths(fresh_path(spark, "lake"))
+    write_table(testbed.raw(spark, sf_dir), lake.layer("raw"))
+    medallion.refine_to_bronze(spark, lake)
+    # Trips whose times could not be read count at an unknown hour; the features refuse them.
+    readable = read_table(spark, lake.layer("bronze")).dropna()
+    write_table(readable, lake.layer("readable"))
+    stations = read_table(spark, lake.layer("station"))
+    write_table(medallion.silver_rows(readable, stations), lake.layer("silver"))
+    medallion.refine_to_gold(spark, lake)
+    return lake
+
+
+def test_gold(spark, lake):
+    gold = read_table(spark, lake.layer("gold"))
+    assert gold.columns == ["final_features", "bike_demand", "dock_demand"]
+    assert gold.first().final_features.size == 30
+    assert medallion.load_features(lake).stages[-1].getOutputCol() == "final_features"
+
+
+def test_gold_can_run_again(spark, lake):
+    medallion.refine_to_gold(spark, lake)
+
+
+def test_missing_feature_raises(spark, lake):
+    silver = read_table(spark, lake.layer("silver"))
+    broken = encode_cycles(silver.withColumn("latitude", F.lit(None).cast("float")))
+    assert features.null_counts(silver).first().latitude == 0
+    with pytest.raises(Exception):
+        medallion.load_features(lake).transform(broken).select("final_features").collect()
+
+
+def test_one_hot_edges(spark, lake):
+    encoded = encode_cycles(read_table(spark, lake.layer("silver")))
+    out = medallion.load_features(lake).transform(encoded)
+    december = out.filter("month = 12").first().encoded_month
+    sunday = out.filter("weekday = 6").first().encoded_weekday
+    june = out.filter("month = 6").first().encoded_month
+    assert december.size == 12 and december.numNonzeros() == 0
+    assert sunday.size == 6 and sunday.numNonzeros() == 0
+    assert june.toArray().tolist().index(1.0) == 6
+
+
+def test_metrics_equal_mllib(spark):
+    df = spark.createDataFrame([(float(i % 7), i / 3.0) for i in range(50)], "y double, p double")
+    got = evaluate(df, "y", "p").first()
+    for name in ("rmse", "r2"):
+        reference = RegressionEvaluator(labelCol="y", predictionCol="p", metricName=name).evaluate(df)
+        assert got[name] == pytest.approx(reference)
+
+
+def test_r2_of_a_constant_label_is_null(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 1.0)], "y double, p double")
+    assert evaluate(df, "y", "p").first().r2 is None
+
+
+@pytest.mark.parametrize("name, cls", [("random_forest", "RandomForestRegressor"), ("gbt", "GBTRegressor")])
+def test_production_settings(spark, name, cls):
+    est = training.family_of(name).estimator("bike_demand", "predicted_bike_demand")
+    assert type(est).__name__ == cls
+    assert (est.getNumTrees() if name == "random_forest" else est.getMaxIter()) == 100
+    assert (est.getMaxDepth(), est.getSubsamplingRate(), est.getMinInstancesPerNode()) == (25, 0.01, 100)
+    assert (est.getMaxBins(), est.getSeed(), est.getFeaturesCol()) == (32, 29, "final_features")
+    assert (est.getLabelCol(), est.getPredictionCol()) == ("bike_demand", "predicted_bike_demand")
+
+
+def test_unknown_family():
+    with pytest.raises(ValueError):
+        training.family_of("linear")
+
+
+@pytest.mark.parametrize("keyed", [False, True])
+def test_split_is_complete_and_near_its_weights(spark, tmp_path, keyed):
+    path = str(tmp_path / "data")
+    write_table(spark.range(20000), path)
+    data = read_table(spark, path)
+    split = training.keyed_split(data, ["id"]) if keyed else training.random_split(data)
+    first = {r.id: r.split for r in split.collect()}
+    assert len(first) == 20000 and first == {r.id: r.split for r in split.collect()}
+    sizes = [list(first.values()).count(s) / 20000 for s in training.SPLITS]
+    assert sizes == pytest.approx([0.9, 0.05, 0.05], abs=0.01)
+
+
+def test_keyed_split_ignores_partitioning(spark):
+    def assigned(df):
+        return {r.id: r.split for r in training.keyed_split(df, ["id"]).collect()}
+
+    assert assigned(spark.range(500).repartition(7)) == assigned(spark.range(500).coalesce(1))
+
+
+@pytest.fixture(scope="module")
+def trained(spark, lake):
+    return {family: jobs.train_both(spark, lake, family, SMALL) for family in training.FAMILIES}
+
+
+def test_metrics_table(spark, lake, trained):
+    got = read_table(spark, lake.layer(jobs.METRICS))
+    assert got.count() == 16
+    assert {r.run_id for r in got.collect()} == set(trained.values())
+    keys = {(r.model, r.label, r.split, r.metric) for r in got.collect()}
+    assert len(keys) == 16
+
+
+def test_models_beat_the_mean_on_learnable_labels(spark, lake):
+    gold = read_table(spark, lake.layer("gold"))
+    learnable = gold.withColumn("bike_demand", (vector_to_array("final_features")[29] * 20).cast("long"))
+    data = training.keyed_split(learnable.withColumn("key", F.monotonically_increasing_id()), ["key"])
+    for family in training.FAMILIES.values():
+        _, metrics = training.fit_and_evaluate(family.estimator("bike_demand", "p", SMALL), data)
+        values = {(r.split, r.metric): r.value for r in metrics.collect()}
+        assert values["val", "r2"] > 0.5 and values["test", "r2"] > 0.5
+
+
+def test_saved_models_load_with_their_own_class(spark, lake, trained):
+    for family, run in trained.items():
+        model = jobs.load_model(lake, family, "dock_demand", run)
+        assert isinstance(model, training.FAMILIES[family].model_class)
+        assert jobs.latest_run(spark, lake, family, "dock_demand") == run
+
+
+def test_no_run_yet(spark, lake, trained):
+    with pytest.raises(LookupError):
+        jobs.latest_run(spark, lake, "gbt", "other_label")
+
+
+@pytest.mark.parametrize("family", list(training.FAMILIES))
+def test_predict_keeps_rows_and_columns(spark, lake, trained, family):
+    silver = read_table(spark, lake.layer("silver"))
+    out = forecasting.predict(spark, encode_cycles(silver), lake, family)
+    assert out.count() == silver.count()
+    assert set(forecast.PREDICTIONS) < set(out.columns)
+    worst = out.agg(F.max(F.abs("predicted_bike_demand"))).first()[0]
+    assert worst is not None and not math.isnan(worst)
+
+
+def test_horizon(spark):
+    asked = spark.createDataFrame([(1, datetime(2024, 2, 28, 13, 5, 59, 7))], "req int, start timestamp")
+    got = sorted(r.time for r in forecast.with_horizon(asked).collect())
+    assert len(got) == 24 and got[0] == datetime(2024, 2, 28, 13, 5) and got[-1] == datetime(2024, 2, 29, 12, 5)
+    text = forecast.format_time(forecast.with_horizon(asked))
+    assert text.agg(F.min("time")).first()[0] == "2024-02-28 13:05"
+    assert forecast.parse_time_text(text).agg(F.min("time")).first()[0] == datetime(2024, 2, 28, 13, 5)
+
+
+def test_grid_flag_and_calendar(spark):
+    stations = spark.createDataFrame([(1, "A", 1.0, 2.0)], "id int, name string, latitude float, longitude float")
+    asked = spark.createDataFrame(
+        [("A", datetime(2024, 7, 3, 12), 1), ("B", datetime(2024, 7, 3, 12), 0)],
+        "station_name string, start timestamp, is_holiday int",
+    )
+    flagged = forecast.forecast_grid(asked, stations)
+    assert flagged.count() == 24 and {r.is_holiday for r in flagged.collect()} == {1}
+    worked_out = forecast.forecast_grid(asked, stations, "calendar").collect()
+    assert sorted(r.is_holiday for r in worked_out) == [0] * 12 + [1] * 12
+    with pytest.raises(ValueError):
+        forecast.forecast_grid(asked, stations, "none")
+
+
+def test_forecast_every_station_from_now(spark, lake, trained):
+    got = forecasting.forecast(spark, lake)
+    n = read_table(spark, lake.layer("station")).select("name").distinct().count()
+    assert got.count() == 24 * n
+    assert dict(got.dtypes)["predicted_bike_demand"] == "bigint"
+    assert got.select("station_name", "time").distinct().count() == 24 * n
+
+
+def test_unify(spark):
+    schema = "station_id int, time string, {} double"
+    bike = spark.createDataFrame([(1, "a", 2.5), (1, "b", 3.5)], schema.format("predicted_bike_demand"))
+    dock = spark.createDataFrame([(1, "b", 0.4), (2, "a", 1.0)], schema.format("predicted_dock_demand"))
+    assert [tuple(r) for r in forecast.unify_forecasts(bike, dock).collect()] == [(1, "b", 4, 0)]
