@@ -76,7 +76,10 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _silver(spark: SparkSession, sf_dir: str, keep_keys: bool = False) -> DataFrame:
-    return silver_rows(testbed.bronze(spark, sf_dir), testbed.stations(spark, sf_dir), keep_keys)
+    """Silver rows, stored first: fitting passes over them more than once."""
+    path = fresh_path(spark, "silver")
+    write_table(silver_rows(testbed.bronze(spark, sf_dir), testbed.stations(spark, sf_dir), keep_keys), path)
+    return read_table(spark, path)
 
 
 def _stored_silver(spark: SparkSession, sf_dir: str, keep_keys: bool = False) -> LakePaths:
@@ -101,10 +104,13 @@ def _trained(spark: SparkSession, sf_dir: str, family: str = "random_forest") ->
 
 
 def _unpacked(df: DataFrame, vector: str, size: int, *kept: str) -> DataFrame:
-    """Vector slots as columns f00, f01, ..."""
+    """Vector slots as columns f00, f01, ...; only the scaled numbers need rounding, the rest is 0 or 1."""
     with_array = df.select(*kept, vector_to_array(vector).alias("slots"))
+    scaled = 0 if vector.startswith("encoded") else len(features.NUMERIC_COLUMNS)
+    slots = [F.col("slots")[i] for i in range(size)]
     return with_array.select(
-        *kept, *[F.round(F.col("slots")[i], 6).alias(f"f{i:02d}") for i in range(size)]
+        *kept,
+        *[(F.round(s, 6) if i < scaled else s).alias(f"f{i:02d}") for i, s in enumerate(slots)],
     )
 
 

@@ -24,6 +24,12 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """A table in fewer splits than the session has cores, over all cores; a larger one as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _latitude(station_id: Column, jitter: Column) -> Column:
     return ((F.lit(406000) + station_id * 5 + jitter).cast("double") / 10000).cast("float")
 
@@ -43,7 +49,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         days.cast("long") * 144000 + F.col("l_orderkey") % 1440 * 60 + F.col("l_partkey") % 60
     )
     duration = F.lit(120) + (F.col("l_quantity") * 60).cast("long") + F.col("l_suppkey") % 60
-    return load(spark, sf_dir, "lineitem").select(
+    df = load(spark, sf_dir, "lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_number"),
         F.timestamp_seconds(F.lit(FIRST_EPOCH_SECOND) + seconds).alias("start_time"),
         F.timestamp_seconds(F.lit(FIRST_EPOCH_SECOND) + seconds + duration).alias("end_time"),
@@ -52,6 +58,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").alias("line"),
         F.col("l_returnflag").alias("flag"),
     )
+    return _spread(df)
 
 
 def bronze(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
@@ -220,9 +227,10 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forecast requests: every event asks for the station named by its ``k``, from its own time on,
     with the holiday box ticked for purchases."""
     k = F.get_json_object("props", "$.k").cast("int")
-    return load(spark, sf_dir, "events").select(
+    df = load(spark, sf_dir, "events").select(
         "event_id",
         station_name(FIRST_STATION_ID + k).alias("station_name"),
         F.col("ts").cast("timestamp").alias("start"),
         (F.col("event_type") == "purchase").cast("int").alias("is_holiday"),
     )
+    return _spread(df)
