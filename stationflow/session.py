@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -17,12 +18,29 @@ SESSION_DEFAULTS = {
 }
 
 
-def build_session(app_name: str = "stationflow", master: str | None = None, **conf: str) -> SparkSession:
-    """Session with the defaults above. On a cluster leave ``master`` to spark-submit and size
-    ``spark.sql.shuffle.partitions`` for the data; AQE coalesces what turns out too fine."""
+# A shuffle partition of this size fits an executor core's share of memory with room for its sort or hash.
+SHUFFLE_PARTITION_MB = 128
+
+
+def build_session(
+    app_name: str = "stationflow",
+    master: str | None = None,
+    shuffle_gb: float | None = None,
+    **conf: str,
+) -> SparkSession:
+    """Session with the defaults above. On a cluster leave ``master`` to spark-submit.
+
+    ``shuffle_gb``, the expected size of the largest shuffle, sets how many partitions shuffles start
+    with; AQE merges what turns out too small, but splits no aggregation that starts with too few.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
+    if shuffle_gb is not None:
+        partitions = max(200, math.ceil(shuffle_gb * 1024 / SHUFFLE_PARTITION_MB))
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions)
+        )
     for key, value in {**SESSION_DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -2,6 +2,7 @@
 
 import pytest
 
+from stationflow.__main__ import main as command_line
 from stationflow.plans import medallion
 from stationflow.plans.catalog import QUERIES
 from stationflow.plans.oracles import ORACLES
@@ -85,6 +86,35 @@ def test_query_equals_sql(spark, sf_dir, name):
     assert compare(QUERIES[name](spark, sf_dir), duck(sf_dir), ORACLES[name]) is None
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("name", ["station_enriched", "station_lookup", "forecast_grid", "job_bronze"])
+def test_joins_beyond_the_broadcast_threshold(spark, sf_dir, no_broadcast, name):
+    df = QUERIES[name](spark, sf_dir)
+    assert "SortMergeJoin" in df._jdf.queryExecution().executedPlan().toString()
+    assert compare(df, duck(sf_dir), ORACLES[name]) is None
+
+
+def test_command_line(spark, tmp_path):
+    root = tmp_path / "lake"
+    for era, name, text in (("era_1", "201501-trips.csv", ERA_1_FILE), ("era_2", "202108-trips.csv", ERA_2_FILE)):
+        folder = root / "csv" / era
+        folder.mkdir(parents=True)
+        (folder / name).write_text(text)
+    for job in ("ingest", "bronze", "silver", "gold"):
+        command_line(["--root", str(root), job, "--keep-keys", "--preserve-time"])
+    gold = read_table(spark, str(root / "layers" / "gold"))
+    assert gold.columns == ["station_id", "time", "final_features", "bike_demand", "dock_demand"]
+    assert gold.count() == 6
+
+
 def test_testbed_covers_all_formats_and_eras(spark, sf_dir):
     months = testbed.published(testbed.trips(spark, sf_dir)).select("file_name").distinct()
     assert months.filter("file_name LIKE '202108%'").count() == 1
