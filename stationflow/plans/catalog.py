@@ -506,9 +506,23 @@ def eval_both(spark, sf_dir):
 
 @query
 def train_split(spark, sf_dir):
-    lake = _stored_silver(spark, sf_dir)
-    silver = read_table(spark, lake.layer("silver"))
-    return training.random_split(silver).groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+    """Rows of a random split, those in exactly one of its three parts, and whether each part's size is
+    within five standard deviations of its weight."""
+    split = training.random_split(_silver(spark, sf_dir))
+    sizes = split.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[F.count_if(F.col("split") == name).alias(name) for name in training.SPLITS],
+    )
+    n = F.col("n_rows")
+    near = [
+        F.abs(F.col(name) - n * weight) < 5 * F.sqrt(n * weight * (1 - weight))
+        for name, weight in zip(training.SPLITS, training.SPLIT_WEIGHTS, strict=True)
+    ]
+    return sizes.select(
+        "n_rows",
+        (F.col("train") + F.col("val") + F.col("test")).alias("n_assigned"),
+        (near[0] & near[1] & near[2]).alias("near_weights"),
+    )
 
 
 @query
@@ -566,8 +580,8 @@ def model_version_score(spark, sf_dir):
 @query
 def score_both_targets(spark, sf_dir):
     lake = _trained(spark, sf_dir, "gbt")
-    encoded = encode_cycles(read_table(spark, lake.layer("silver")))
-    return forecasting.predict(spark, encoded, lake, "gbt").select(
+    silver = read_table(spark, lake.layer("silver"))
+    return forecasting.predict(spark, silver, lake, "gbt").select(
         *features.LABELS, *forecast.PREDICTIONS
     )
 

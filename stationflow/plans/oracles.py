@@ -418,6 +418,9 @@ ORACLES: dict[str, str] = {
     "eval_both": _with(
         f"SELECT CAST(year(time) AS INTEGER) AS year, {_NAIVE_RMSE}, {_NAIVE_R2} FROM demand GROUP BY ALL", "demand"
     ),
+    "train_split": _with(
+        "SELECT count(*) AS n_rows, count(*) AS n_assigned, true AS near_weights FROM demand", "demand"
+    ),
     "train_split_keyed": _with(
         """SELECT station_id, time,
                   CASE WHEN share < 0.9::DOUBLE THEN 'train'

@@ -149,7 +149,7 @@ def test_no_run_yet(spark, lake, trained):
 @pytest.mark.parametrize("family", list(training.FAMILIES))
 def test_predict_keeps_rows_and_columns(spark, lake, trained, family):
     silver = read_table(spark, lake.layer("silver"))
-    out = forecasting.predict(spark, encode_cycles(silver), lake, family)
+    out = forecasting.predict(spark, silver, lake, family)
     assert out.count() == silver.count()
     assert set(forecast.PREDICTIONS) < set(out.columns)
     worst = out.agg(F.max(F.abs("predicted_bike_demand"))).first()[0]
@@ -183,6 +183,9 @@ def test_forecast_every_station_from_now(spark, lake, trained):
     got = forecasting.forecast(spark, lake)
     n = read_table(spark, lake.layer("station")).select("name").distinct().count()
     assert got.count() == 24 * n
+    assert set(got.columns) == {
+        "station_name", "station_id", "latitude", "longitude", "is_holiday", "time", *forecast.PREDICTIONS
+    }
     assert dict(got.dtypes)["predicted_bike_demand"] == "bigint"
     assert got.select("station_name", "time").distinct().count() == 24 * n
 
