@@ -32,9 +32,11 @@ class TreeSettings:
     seed: int = 29
 
 
-SPLIT_WEIGHTS = (0.9, 0.05, 0.05)
 DEFAULT_SETTINGS = TreeSettings()
 
+# The weights of train, val and test.
+SPLIT_WEIGHTS = (0.9, 0.05, 0.05)
+
 
 def _shared_params(label: str, prediction: str, s: TreeSettings) -> dict:
     return dict(

@@ -568,13 +568,19 @@ def experiment_metrics(spark, sf_dir):
 
 @query
 def model_version_score(spark, sf_dir):
-    """Score with an earlier run's model, found by its run id."""
+    """How many rows an earlier run's model, found by its run id after a later run was stored, predicts
+    as it did before that run."""
     lake = _stored_gold(spark, sf_dir)
     first = training_jobs.train_both(spark, lake, "random_forest", CHECK_SETTINGS)
+    before = training_jobs.load_model(lake, "random_forest", "bike_demand", first)
     training_jobs.train_both(spark, lake, "random_forest", CHECK_SETTINGS)
-    model = training_jobs.load_model(lake, "random_forest", "bike_demand", first)
+    after = training_jobs.load_model(lake, "random_forest", "bike_demand", first)
     gold = read_table(spark, lake.layer("gold"))
-    return model.transform(gold).select("bike_demand", "predicted_bike_demand")
+    both = after.setPredictionCol("after").transform(before.setPredictionCol("before").transform(gold))
+    return both.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("before") == F.col("after")).alias("n_same"),
+    )
 
 
 @query

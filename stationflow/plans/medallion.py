@@ -83,13 +83,18 @@ def refine_to_silver(
     observed: bool = False,
     partition_by_year: bool = False,
 ) -> None:
-    """Bronze and stations to silver: one shuffle on (station, hour)."""
+    """Bronze and stations to silver: one shuffle on (station, hour).
+
+    ``partition_by_year`` adds a rebalance, so that each year gets files of an even size, not one file
+    per task and year.
+    """
     bronze = read_table(spark, lake.layer("bronze"), lake.fmt)
     stations = read_table(spark, lake.layer("station"), lake.fmt)
     silver = silver_rows(bronze, stations, keep_keys, observed)
-    write_table(
-        silver, lake.layer("silver"), lake.fmt, partition_by=["year"] if partition_by_year else []
-    )
+    if partition_by_year:
+        write_table(silver.hint("rebalance", "year"), lake.layer("silver"), lake.fmt, partition_by=["year"])
+    else:
+        write_table(silver, lake.layer("silver"), lake.fmt)
 
 
 def refine_to_gold(spark: SparkSession, lake: LakePaths, *keys: str) -> None:

@@ -301,6 +301,7 @@ ORACLES: dict[str, str] = {
     "surrogate_row_id": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_tasks_with_gaps FROM lineitem",
     "feature_model_roundtrip": GOLD,
     "model_roundtrip": _with("SELECT count(*) AS n_rows, count(*) AS n_same FROM demand", "demand"),
+    "model_version_score": _with("SELECT count(*) AS n_rows, count(*) AS n_same FROM demand", "demand"),
     "station_names": _with("SELECT name FROM stations", "stations"),
     "harmonize_era1": _with(_HARMONIZED_1, "placed"),
     "harmonize_era2": _with(_HARMONIZED_2, "placed"),

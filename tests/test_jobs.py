@@ -78,7 +78,7 @@ def test_every_sql_has_its_query():
     assert set(ORACLES) <= set(QUERIES)
 
 
-SLOW = {"feature_model_roundtrip", "job_gold", "forecast_features"}
+SLOW = {"feature_model_roundtrip", "job_gold", "forecast_features", "model_version_score"}
 
 
 @pytest.mark.parametrize("name", sorted(set(ORACLES) - SLOW))
