@@ -101,10 +101,16 @@ def lower_ascii() -> np.ndarray:
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, fold: np.ndarray | None = None) -> Words:
-    """Runs of bytes for which `inside` (256 flags) holds, cut at the texts' ends; `fold` maps bytes before hashing."""
+    """Runs of bytes for which `inside` holds (256 flags, by byte value), cut at the texts' ends; `fold` maps bytes
+    before hashing."""
+    return runs_of(data, offsets, inside[data], fold)
+
+
+def runs_of(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, fold: np.ndarray | None = None) -> Words:
+    """Runs of bytes at the places that `inside` flags, cut at the texts' ends."""
     n = len(data)
     is_word = np.zeros(n + 2, np.int8)
-    is_word[1:-1] = inside[data]
+    is_word[1:-1] = inside
     begins = is_word[1:-1] > is_word[:-2]
     ends = is_word[1:-1] > is_word[2:]
     cuts = offsets[1:-1]

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import decontaminate, odd_sketch
+from stationflow.llm import decontaminate, line_dedup, odd_sketch
 from stationflow.llm.common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "text", "n_lines", "n_removed")
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"), k=4)
 
@@ -16,5 +21,5 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op3_minhash_near_dedup, op8_benchmark_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_minhash_near_dedup, op8_benchmark_decontamination)}
 ORACLES: dict[str, str] = {}
