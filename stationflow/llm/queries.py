@@ -4,9 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import decontaminate, line_dedup, odd_sketch
+from stationflow.llm import decontaminate, line_dedup, odd_sketch, packing, winnowing
 from stationflow.llm.common import table
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where an installed public tokenizer's file lies, on every machine of the cluster."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
@@ -17,9 +26,17 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"), k=4)
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.edit_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_minhash_near_dedup, op8_benchmark_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_minhash_near_dedup, op4_fingerprints, op5_packing, op8_benchmark_decontamination)}
 ORACLES: dict[str, str] = {}
