@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import decontaminate, line_dedup, odd_sketch, packing, winnowing
+from stationflow.llm import decontaminate, language_id, line_dedup, odd_sketch, packing, quality, winnowing
 from stationflow.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -38,5 +38,13 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_minhash_near_dedup, op4_fingerprints, op5_packing, op8_benchmark_decontamination)}
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predict(table(spark, sf_dir, "documents"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_minhash_near_dedup, op4_fingerprints, op5_packing, op8_benchmark_decontamination, op9_language_id, op10_quality_classifier)}
 ORACLES: dict[str, str] = {}
