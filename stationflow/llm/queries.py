@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import decontaminate, language_id, line_dedup, odd_sketch, packing, quality, winnowing
+from stationflow.llm import decontaminate, language_id, line_dedup, odd_sketch, packing, quality, warc, winnowing
 from stationflow.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -34,6 +34,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_roundtrip(table(spark, sf_dir, "pages"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -46,5 +50,18 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_minhash_near_dedup, op4_fingerprints, op5_packing, op8_benchmark_decontamination, op9_language_id, op10_quality_classifier)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_minhash_near_dedup, op4_fingerprints, op5_packing, op6_warc, op8_benchmark_decontamination, op9_language_id, op10_quality_classifier)}
+
+ORACLES = {
+    "op6_warc": """
+        WITH p AS (
+            SELECT page_id, sha1(encode(coalesce(html, ''))) AS digest, octet_length(encode(coalesce(html, ''))) AS size FROM pages
+        ), g AS (
+            SELECT digest, max(page_id) AS target FROM p WHERE size >= 1000 GROUP BY digest
+        )
+        SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, p.digest AS payload_digest,
+            CASE WHEN size >= 1000 AND page_id <> target THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN size >= 1000 AND page_id <> target THEN target END AS refers_to
+        FROM p LEFT JOIN g ON p.digest = g.digest
+    """,
+}
