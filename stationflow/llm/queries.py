@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import decontaminate, language_id, line_dedup, odd_sketch, packing, quality, warc, winnowing
+from stationflow.llm import decontaminate, language_id, line_dedup, odd_sketch, packing, pii, quality, tool_links, warc, winnowing
 from stationflow.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -22,6 +22,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op2_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tool_links.linked_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"), k=4)
 
@@ -38,6 +42,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_roundtrip(table(spark, sf_dir, "pages"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -50,9 +58,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_minhash_near_dedup, op4_fingerprints, op5_packing, op6_warc, op8_benchmark_decontamination, op9_language_id, op10_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_tool_call_linking, op3_minhash_near_dedup, op4_fingerprints, op5_packing, op6_warc, op7_pii, op8_benchmark_decontamination, op9_language_id, op10_quality_classifier)}
 
 ORACLES = {
+    "op2_tool_call_linking": tool_links.ORACLE,
     "op6_warc": """
         WITH p AS (
             SELECT page_id, sha1(encode(coalesce(html, ''))) AS digest, octet_length(encode(coalesce(html, ''))) AS size FROM pages

@@ -65,3 +65,29 @@ def overlaps(texts, items, window=10):
         names = ",".join(sorted(str(i) for i in found if i is not None))
         out[doc] = (len(words), len(hit), sum(i is not None for i in found), hashlib.sha256(names.encode()).hexdigest(), bool(hit))
     return out
+
+
+PII = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def personal(text):
+    """Base spans (kind, start, end) of the contract."""
+    out = []
+    for kind, pattern in PII.items():
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and any(int(p) > 255 for p in m[0].split(".")):
+                continue
+            if kind == "card":
+                twice = sum(int(d) if i % 2 == 0 else sum(map(int, str(2 * int(d)))) for i, d in enumerate(reversed(digits)))
+                if not 13 <= len(digits) <= 19 or twice % 10:
+                    continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            out.append((kind, m.start(), m.end()))
+    return out
