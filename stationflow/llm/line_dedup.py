@@ -177,25 +177,24 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int =
     return met.select("doc_id", "name", "hashes", "words", "numbers", "there", "anchors").mapInArrow(grow, RUNS)
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS, prefix: str = "") -> DataFrame:
     """docs with the later copies of repeated runs cut out of text, and n_lines, n_removed (lines before and cut).
 
-    A null text stays null, with no lines. A text of which nothing is cut stays as it is, byte for byte. Columns of
-    docs named n_lines or n_removed are replaced.
+    A null text stays null, with no lines. A text of which nothing is cut stays as it is, byte for byte. The names of the
+    new columns follow `prefix`; columns of docs so named are replaced.
     """
     runs = repeated_runs(docs, min_words, gram_words)
     cut = stored(runs.groupBy("doc_id", "name").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_runs")), "runs")
-    keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     cut = cut.select(F.col("doc_id").alias("_id"), F.col("name").alias("_name"), "_runs")
-    same = (docs.doc_id == cut["_id"]) & (F.xxhash64(F.coalesce(docs.text, F.lit(""))) == cut["_name"])
-    joined = docs.join(cut, same, "left").select(*[docs[c] for c in keep], "_runs")
+    docs = docs.drop(f"{prefix}n_lines", f"{prefix}n_removed", "_id", "_name", "_runs")
+    same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_name"))
+    joined = docs.join(cut, same, "left").select(*docs.columns, "_runs")
     lines = F.split("text", SPLIT)
     inside = lambda i: F.exists("_runs", lambda r: (r["start"] <= i) & (i < r["end"]))
-    left = F.filter(lines, lambda x, i: ~inside(i))
-    kept = joined.withColumn("_left", F.when(F.col("_runs").isNotNull(), left))
+    kept = joined.withColumn("_left", F.when(F.col("_runs").isNotNull(), F.filter(lines, lambda x, i: ~inside(i))))
     n = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
     return kept.select(
-        *[F.coalesce(F.array_join("_left", ""), "text").alias("text") if c == "text" else F.col(c) for c in keep],
-        n.alias("n_lines"),
-        F.coalesce(n - F.size("_left"), F.lit(0)).cast("long").alias("n_removed"),
+        *[F.coalesce(F.array_join("_left", ""), "text").alias("text") if c == "text" else F.col(c) for c in docs.columns],
+        n.alias(f"{prefix}n_lines"),
+        F.coalesce(n - F.size("_left"), F.lit(0)).cast("long").alias(f"{prefix}n_removed"),
     )

@@ -58,7 +58,13 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_tool_call_linking, op3_minhash_near_dedup, op4_fingerprints, op5_packing, op6_warc, op7_pii, op8_benchmark_decontamination, op9_language_id, op10_quality_classifier)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # stands beside the package and imports it
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_tool_call_linking, op3_minhash_near_dedup, op4_fingerprints, op5_packing, op6_warc, op7_pii, op8_benchmark_decontamination, op9_language_id, op10_quality_classifier, pipeline)}
 
 ORACLES = {
     "op2_tool_call_linking": tool_links.ORACLE,
