@@ -4,7 +4,7 @@ Each task is a shard: it turns its documents' words into ranks of the test vocab
 could begin a test window, and looks every test suffix up by binary search. Hits that follow each other on
 one diagonal join into the longest verbatim matches, with their places on both sides.
 
-The test set is the stated query set. It reaches the tasks in blocks of at most `block_mb`, one pass over the
+The test set is the stated query set. It reaches the tasks in blocks of about `BLOCK_BYTES`, one pass over the
 documents for each; a pass holds one block, however large the test set is.
 
 A suffix can only begin a hit if it and the words after it, up to the shortest window, all occur in the
@@ -30,6 +30,9 @@ INSIDE = np.zeros(256, bool)
 INSIDE[0x30:0x3A] = INSIDE[0x61:0x7B] = INSIDE[0x80:] = True
 INSIDE[0x41:0x5B] = True  # A-Z, lower-cased before they are compared
 
+#: Text of the test set in one block.
+BLOCK_BYTES = 32 << 20
+
 HITS = "doc_id long, n_words long, hits array<struct<start:long,end:long>>, items array<long>, matches array<struct<item_id:long,item_start:long,doc_start:long,n_words:long>>"
 
 
@@ -148,7 +151,7 @@ def search(batch: pa.RecordBatch, tests: TestSet | None) -> pa.RecordBatch:
                     ids.add(item)
                     diagonals.setdefault((item, a - int(words.first[row]) - place), []).append(place)
             for (item, shift), there in diagonals.items():
-                places += [(item, a, a + shift, b - a) for a, b in _runs(np.unique(there), 1 if size < 1 else size) if b > a]
+                places += [(item, a, a + shift, b - a) for a, b in _runs(np.unique(there), size)]
         hits.append([{"start": a, "end": b} for a, b in _joined(ranges)])
         items.append(sorted(i for i in ids if i >= 0))
         matches.append([{"item_id": i, "item_start": a, "doc_start": b, "n_words": c} for i, a, b, c in sorted(places)])
@@ -160,15 +163,16 @@ def search(batch: pa.RecordBatch, tests: TestSet | None) -> pa.RecordBatch:
     )
 
 
-def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_mb: int = 32) -> DataFrame:
+def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row of docs: doc_id, n_words, word ranges that occur in test windows (hits), ids of the items with such
-    windows, and the longest verbatim matches with their places. Null texts have no words, rows of docs with a
-    null or repeated doc_id stay rows of their own, and a test row without id marks words but is not listed."""
+    windows, and the longest verbatim matches with their places. Null texts have no words, and a test row without id
+    marks words but is not listed. Rows with a null or repeated doc_id stay rows of their own, but for a test set of
+    several blocks, where rows of one doc_id become one."""
     spark = docs.sparkSession
     bounded_batches(spark)
     tests = benchmark.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     size = tests.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(1, math.ceil(size / (block_mb << 20)))
+    blocks = max(1, math.ceil(size / block_bytes))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     parts = []
     for k in range(blocks):

@@ -7,8 +7,8 @@ one, in the order of doc_id and line, never to each other. From there a match gr
 later run goes if the match has `min_words` words. Every line that goes equals an earlier line that a run shares with it,
 so the first copy of a run stays whole.
 
-A fingerprint may stand in several passages. So each occurrence is also joined to the first one that has the
-same line before it, and to the first that has the same line after it.
+A gram of less than `min_words` may stand in several passages. So its occurrences meet by the gram and the line before
+it, and by the gram and the line after it: one of the two belongs to any run of `min_words` words around it.
 
 A line ends at a line feed or at the end of a sentence (a full stop, exclamation or question mark before a space), as
 a passage may begin or end inside a paragraph. Lines are compared byte for byte without that space or line feed; empty
@@ -40,8 +40,8 @@ IN_WORD[0x09:0x0E] = IN_WORD[0x20] = False
 BASE = 0x9E3779B97F4A7C15
 BACK = pow(BASE, -1, 1 << 64)
 
-LINES = "doc_id long, name long, hashes array<long>, words array<int>, numbers array<int>, marks array<struct<place:int,keys:array<long>>>"
-RUNS = "doc_id long, name long, start int, end int, words int"
+LINES = "doc_id long, name long, hashes array<long>, words array<int>, numbers array<int>, marks array<struct<place:int,after:int,whole:boolean,gram:long>>"
+RUNS = "doc_id long, name long, start int, end int"
 
 
 def _reach(total: np.ndarray, first: np.ndarray, least: int) -> np.ndarray:
@@ -51,23 +51,23 @@ def _reach(total: np.ndarray, first: np.ndarray, least: int) -> np.ndarray:
     return np.where(end <= last, end, -1)
 
 
-def fingerprints(grams: np.ndarray, gram_end: np.ndarray, window_end: np.ndarray) -> np.ndarray:
-    """Lines whose gram is the least of some window; the rightmost where several are equal."""
-    chosen = set()
-    queue: list[int] = []  # grams of the window in growing order of hash
-    head, at = 0, 0
-    for i in np.flatnonzero(window_end > 0).tolist():
-        if at < i:
-            at, queue, head = i, [], 0
-        while at < len(grams) and 0 < gram_end[at] <= window_end[i]:
-            while len(queue) > head and grams[queue[-1]] >= grams[at]:
-                queue.pop()
-            queue.append(at)
-            at += 1
-        while queue[head] < i:
-            head += 1
-        chosen.add(queue[head])
-    return np.array(sorted(chosen), np.int64)
+def fingerprints(grams: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Places of the least gram in each window of grams [start, stop), the rightmost of equal ones (as to 44 bits).
+
+    Minima over runs of 1, 2, 4, ... grams; a window's least is that of the two runs which begin and end it.
+    """
+    low = (1 << 20) - 1
+    place = np.arange(len(grams), dtype=np.uint64)
+    least = (grams & ~np.uint64(low)) | (np.uint64(low) - (place & np.uint64(low)))
+    level = np.frexp(stop - start)[1] - 1
+    chosen, width = [], 1
+    for k in range(int(level.max(initial=-1)) + 1):
+        at = np.flatnonzero(level == k)
+        two = np.minimum(least[start[at]], least[stop[at] - width])
+        chosen.append(start[at] + ((np.uint64(low) - (two & np.uint64(low))).astype(np.int64) - start[at]) % (low + 1))
+        least = np.minimum(least, np.concatenate([least[width:], np.full(min(width, len(least)), ~np.uint64(0))]))
+        width *= 2
+    return np.unique(np.concatenate(chosen)) if chosen else np.zeros(0, np.int64)
 
 
 def line_table(batch: pa.RecordBatch, min_words: int, gram_words: int) -> pa.RecordBatch:
@@ -91,52 +91,53 @@ def line_table(batch: pa.RecordBatch, min_words: int, gram_words: int) -> pa.Rec
     begins = np.arange(len(lines.hash))
     ends = np.maximum(gram_end, begins)
     grams = mix((summed[ends] - summed[:-1]) * shifts[:-1] + (ends - begins).astype(np.uint64))
-    marks: list[list] = [[] for _ in range(n)]
-    parts = [fingerprints(grams[a:b], np.where(gram_end[a:b] > 0, gram_end[a:b] - a, -1), np.where(window_end[a:b] > 0, window_end[a:b] - a, -1)) + a for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-    chosen = np.concatenate([np.zeros(0, np.int64), *parts])
-    if len(chosen):
-        row, end = lines.row[chosen], gram_end[chosen]
-        own = grams[chosen]
-        before = np.where(chosen > first[row], lines.hash[np.maximum(chosen - 1, 0)], np.uint64(1))
-        after = np.where(end < first[row + 1], lines.hash[np.minimum(end, len(lines.hash) - 1)], np.uint64(2))
-        keys = np.stack([own, mix(own + mix(before + np.uint64(3))), mix(own ^ mix(after + np.uint64(5)))], axis=1).view(np.int64)
-        for r, place, k in zip(row.tolist(), (chosen - first[row]).tolist(), keys.tolist(), strict=True):
-            marks[r].append({"place": place, "keys": k})
+    # Ends of grams in steps of half a line, rising over all texts, with a text's unfinished grams behind its last line.
+    rising = np.where(gram_end > 0, 2 * gram_end, 2 * np.repeat(first[1:], np.diff(first)) + 1)
+    full = np.flatnonzero(window_end > 0)
+    chosen = fingerprints(grams, full, np.searchsorted(rising, 2 * window_end[full], side="right"))
+    row = lines.row[chosen]
     at = pa.array(first.astype(np.int32))
 
     def lists(x: np.ndarray) -> pa.Array:
         return pa.ListArray.from_arrays(at, pa.array(x))
 
-    mark = pa.struct([("place", pa.int32()), ("keys", pa.list_(pa.int64()))])
+    marks = pa.StructArray.from_arrays(
+        [pa.array((chosen - first[row]).astype(np.int32)), pa.array((gram_end[chosen] - first[row]).astype(np.int32)), pa.array(total[gram_end[chosen]] - total[chosen] >= min_words), pa.array(grams[chosen].view(np.int64))],
+        ["place", "after", "whole", "gram"],
+    )
+    by_row = pa.array(np.searchsorted(row, np.arange(n + 1)).astype(np.int32))
     return pa.RecordBatch.from_arrays(
-        [batch.column("doc_id"), batch.column("name"), lists(lines.hash.view(np.int64)), lists(count.astype(np.int32)), lists(number.astype(np.int32)), pa.array(marks, pa.list_(mark))],
+        [batch.column("doc_id"), batch.column("name"), lists(lines.hash.view(np.int64)), lists(count.astype(np.int32)), lists(number.astype(np.int32)), pa.ListArray.from_arrays(by_row, marks)],
         ["doc_id", "name", "hashes", "words", "numbers", "marks"],
     )
 
 
-def grown(here: np.ndarray, there: np.ndarray, words: np.ndarray, anchors: list[tuple[int, int]], least: int) -> list[tuple[int, int, int]]:
-    """Matches through the anchors (place here, place there), grown both ways: first line, line after the last, words."""
+def grown(here: np.ndarray, there: np.ndarray, words: np.ndarray, anchors: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Matches through the anchors (place here, place there), grown both ways: first line, line after the last."""
     out = []
-    by_shift: dict[int, list[int]] = {}
-    for a, b in anchors:
-        by_shift.setdefault(a - b, []).append(a)
-    for shift, at in by_shift.items():
+    for shift in np.unique(anchors[:, 0] - anchors[:, 1]).tolist():
         low, high = max(0, shift), min(len(here), len(there) + shift)
-        same = here[low:high] == there[low - shift : high - shift]
-        breaks = np.concatenate([[low - 1], np.flatnonzero(~same) + low, [high]])
-        for k in np.unique(np.searchsorted(breaks, at, side="right")).tolist():
-            start, end = int(breaks[k - 1]) + 1, int(breaks[k]) if k < len(breaks) else high
-            n = int(words[start:end].sum())
-            if n >= least:
-                out.append((start, end, n))
+        at = anchors[anchors[:, 0] - anchors[:, 1] == shift, 0]
+        same = np.flatnonzero(here[low:high] != there[low - shift : high - shift]) + low
+        breaks = np.concatenate([[low - 1], same, [high]])
+        for k in np.unique(np.searchsorted(breaks, at[(at >= low) & (at < high)], side="right")).tolist():
+            start, end = int(breaks[k - 1]) + 1, int(breaks[k])
+            if end > start and words[start:end].sum() >= least:
+                out.append((start, end))
     return out
 
 
+def _cells(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column in one run, and where each row's begin."""
+    column = batch.column(name)
+    return column.values.to_numpy(zero_copy_only=False), np.asarray(column.offsets)
+
+
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS) -> DataFrame:
-    """Later copies of repeated runs: doc_id, name (of the text), line numbers start and end (exclusive), words.
+    """Later copies of repeated runs: doc_id, name (of the text), line numbers start and end (exclusive).
 
-    Rows without text or doc_id have none. Rows that repeat both id and text are one document; rows of one id with other
-    texts are ordered by their names.
+    Rows without text or doc_id have none. Rows that repeat both id and text are one document; of rows that share an id
+    only, a run counts as later where it stands further behind.
     """
     bounded_batches(docs.sparkSession)
 
@@ -146,55 +147,61 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int =
 
     texts = id_and_text(docs).where("doc_id is not null").withColumn("name", F.xxhash64("text"))
     lined = stored(texts.mapInArrow(lines, LINES), "lines")
-    marks = lined.select("doc_id", "name", F.explode("marks").alias("mark")).select("doc_id", "name", F.col("mark.place").alias("place"), F.explode("mark.keys").alias("key"))
-    own = F.struct("doc_id", "name", "place")
+    mark = F.col("mark")
+    near = lambda place: F.get("hashes", place)
+    keys = F.when(mark["whole"], F.array(mark["gram"])).otherwise(
+        F.array(F.xxhash64(mark["gram"], F.lit(1), near(mark["place"] - 1)), F.xxhash64(mark["gram"], F.lit(2), near(mark["after"])))
+    )
+    marks = lined.select("doc_id", "hashes", F.explode("marks").alias("mark")).select("doc_id", mark["place"].alias("place"), F.explode(keys).alias("key"))
+    own = F.struct("doc_id", "place")
     firsts = stored(marks.groupBy("key").agg(F.min(own).alias("first"), F.max(own).alias("last")).where("first <> last").select("key", "first"), "firsts")
-    pairs = (
+    pairs = stored(
         marks.join(firsts, "key")
         .where(own > F.col("first"))
-        .select("doc_id", "name", F.col("first.doc_id").alias("first_id"), F.col("first.name").alias("first_name"), F.struct("place", F.col("first.place").alias("there")).alias("anchor"))
-        .groupBy("doc_id", "name", "first_id", "first_name")
-        .agg(F.collect_set("anchor").alias("anchors"))
+        .select("doc_id", F.col("first.doc_id").alias("first_id"), "place", F.col("first.place").alias("there"))
+        .groupBy("doc_id", "first_id")
+        .agg(F.flatten(F.collect_set(F.array("place", "there"))).alias("anchors")),
+        "pairs",
     )
-    pairs = stored(pairs, "pairs")
-    once = lined.where(F.size("hashes") > 0).select("doc_id", "name", "hashes", "words", "numbers").dropDuplicates(["doc_id", "name"])
-    once = stored(once, "once")
-    sources = once.select(F.col("doc_id").alias("first_id"), F.col("name").alias("first_name"), F.col("hashes").alias("there"))
-    met = pairs.join(once, ["doc_id", "name"]).join(sources, ["first_id", "first_name"])
+    sources = lined.select(F.col("doc_id").alias("first_id"), F.col("hashes").alias("there"))
+    met = pairs.join(lined.select("doc_id", "name", "hashes", "words", "numbers"), "doc_id").join(sources, "first_id")
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for r in batch.to_pylist():
-                number = r["numbers"]
-                anchors = [(a["place"], a["there"]) for a in r["anchors"]]
-                for start, end, n in grown(np.array(r["hashes"]), np.array(r["there"]), np.array(r["words"]), anchors, min_words):
-                    rows.append((r["doc_id"], r["name"], number[start], number[end - 1] + 1, n))
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "name", "start", "end", "words"])
+            (hashes, a), (words, b), (numbers, c), (there, d), (anchors, e) = (_cells(batch, x) for x in ("hashes", "words", "numbers", "there", "anchors"))
+            row, start, end = [], [], []
+            for i in range(batch.num_rows):
+                pairs_of = anchors[e[i] : e[i + 1]].reshape(-1, 2)
+                for x, y in grown(hashes[a[i] : a[i + 1]], there[d[i] : d[i + 1]], words[b[i] : b[i + 1]], pairs_of, min_words):
+                    row.append(i)
+                    start.append(numbers[c[i] + x])
+                    end.append(numbers[c[i] + y - 1] + 1)
+            take = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("name").take(take), pa.array(start, pa.int32()), pa.array(end, pa.int32())], ["doc_id", "name", "start", "end"])
 
     return met.select("doc_id", "name", "hashes", "words", "numbers", "there", "anchors").mapInArrow(grow, RUNS)
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS, prefix: str = "") -> DataFrame:
-    """docs with the later copies of repeated runs cut out of text, and n_lines, n_removed (lines before and cut).
+    """docs with the later copies of repeated runs cut out of text, and n_removed, the number of lines cut.
 
-    A null text stays null, with no lines. A text of which nothing is cut stays as it is, byte for byte. The names of the
-    new columns follow `prefix`; columns of docs so named are replaced.
+    A null text stays null. A text of which nothing is cut stays as it is, byte for byte. The new column's name follows
+    `prefix`; a column of docs so named is replaced.
     """
     runs = repeated_runs(docs, min_words, gram_words)
     cut = stored(runs.groupBy("doc_id", "name").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_runs")), "runs")
     cut = cut.select(F.col("doc_id").alias("_id"), F.col("name").alias("_name"), "_runs")
-    docs = docs.drop(f"{prefix}n_lines", f"{prefix}n_removed", "_id", "_name", "_runs")
+    docs = docs.drop(f"{prefix}n_removed", "_id", "_name", "_runs")
     same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_name"))
-    joined = docs.join(cut, same, "left").select(*docs.columns, "_runs")
+    # The runs grow with the documents, so the plan is that of a large table at every size.
+    joined = docs.join(cut.hint("merge"), same, "left").select(*docs.columns, "_runs")
     lines = F.split("text", SPLIT)
     inside = lambda i: F.exists("_runs", lambda r: (r["start"] <= i) & (i < r["end"]))
-    kept = joined.withColumn("_left", F.when(F.col("_runs").isNotNull(), F.filter(lines, lambda x, i: ~inside(i))))
-    n = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
-    return kept.select(
-        *[F.coalesce(F.array_join("_left", ""), "text").alias("text") if c == "text" else F.col(c) for c in docs.columns],
-        n.alias(f"{prefix}n_lines"),
-        F.coalesce(n - F.size("_left"), F.lit(0)).cast("long").alias(f"{prefix}n_removed"),
+    left = F.array_join(F.filter(lines, lambda x, i: ~inside(i)), "")
+    # Runs may overlap: each counts from where those before it end.
+    step = lambda s, r: F.struct(F.greatest(s["end"], r["end"]).alias("end"), (s["n"] + F.greatest(F.lit(0), r["end"] - F.greatest(s["end"], r["start"]))).alias("n"))
+    removed = F.aggregate("_runs", F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")), step, lambda s: s["n"])
+    return joined.select(
+        *[F.when(F.col("_runs").isNull(), F.col("text")).otherwise(left).alias("text") if c == "text" else F.col(c) for c in docs.columns],
+        F.coalesce(removed, F.lit(0)).cast("long").alias(f"{prefix}n_removed"),
     )

@@ -19,7 +19,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
-    return cut.select("doc_id", "text", "n_lines", "n_removed")
+    return cut.select("doc_id", "text", "n_removed")
 
 
 def op2_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:

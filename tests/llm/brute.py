@@ -91,3 +91,51 @@ def personal(text):
                 continue
             out.append((kind, m.start(), m.end()))
     return out
+
+
+LINE = re.compile(r"(?:(?<=\n)|(?<=[.!?]\x20))(?!\Z)")
+
+
+def lines(text):
+    return LINE.split(text)
+
+
+def bare(line):
+    """A line without the line feed or space that ends it."""
+    return line[:-1] if line.endswith("\n") or re.search(r"[.!?] \Z", line) else line
+
+
+def without_repeated_runs(texts, least):
+    """Texts without lines in shortest runs of `least` words that came before."""
+    seen, out = set(), {}
+    for i in sorted(texts):
+        every = lines(texts[i] or "")
+        full = [(k, bare(x)) for k, x in enumerate(every) if bare(x)]
+        gone = set()
+        for a in range(len(full)):
+            n = 0
+            for b in range(a, len(full)):
+                n += len(SPACE_WORD.findall(full[b][1]))
+                if n >= least:
+                    run = tuple(x for _, x in full[a : b + 1])
+                    if run in seen:
+                        gone.update(k for k, _ in full[a : b + 1])
+                    seen.add(run)
+                    break
+        out[i] = "".join(x for k, x in enumerate(every) if k not in gone)
+    return out
+
+
+def winnowed(text, k, window):
+    """(position, gram) of the fingerprints: the least hash of each window, the rightmost of equal ones."""
+    from stationflow.llm.winnowing import winnow
+
+    grams = [text[i : i + k] for i in range(max(1, len(text) - k + 1))] if text else []
+    order = {g: int(winnow([g], k, window)[0][0][0]) for g in set(grams)}
+    out = set()
+    for i in range(max(1, len(grams) - window + 1) if grams else 0):
+        part = range(i, min(i + window, len(grams)))
+        least = min(order[grams[j]] for j in part)
+        best = max(j for j in part if order[grams[j]] == least)
+        out.add((best, grams[best]))
+    return out
