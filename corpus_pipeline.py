@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.llm import decontaminate, language_id, line_dedup, odd_sketch, packing
-from stationflow.llm.common import stored, table
+from stationflow.llm.common import stored, table, unused_prefix
 from stationflow.llm.queries import tokenizer_path
 
 
@@ -21,21 +21,23 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated runs go; a document of which nothing but white space is left goes too."""
-    cut = line_dedup.dedup_lines(docs, prefix="_")
-    kept = cut.where((F.col("_n_removed") == 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
-    n_chars = F.when(F.col("_n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    own = unused_prefix(docs)
+    cut = line_dedup.dedup_lines(docs, prefix=own)
+    removed = F.col(f"{own}n_removed")
+    kept = cut.where((removed == 0) | F.col("text").rlike(r"\S"))
+    n_chars = F.when(removed > 0, F.length("text")).otherwise(F.col("n_chars"))
     types = dict(docs.dtypes)
     return kept.select(*[n_chars.cast(types[c]).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: five-word shingles, likeness of 0.8."""
-    return odd_sketch.keep_one(docs).select(*docs.columns)
+    return odd_sketch.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,6 +36,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused_prefix(docs: DataFrame) -> str:
+    """A prefix that no column of docs has."""
+    prefix = "_"
+    while any(c.startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    return prefix
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """The two columns that text operators read; a null text counts as empty."""
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).cast("string").alias("text"))

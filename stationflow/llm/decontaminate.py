@@ -223,7 +223,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The rows of docs whose id has no hit. Rows without an id have no handle and stay."""
     bad = stored(find_overlaps(docs, benchmark, window).where(F.size("hits") > 0).select("doc_id").distinct(), "contaminated")
-    return docs.join(bad, "doc_id", "left_anti")
+    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
 
 
 def digest(ids: list[int]) -> str:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.common import bounded_batches, id_and_text, mix, pieces, runs_of, stored, utf8, words_of
+from stationflow.llm.common import bounded_batches, id_and_text, mix, pieces, runs_of, stored, unused_prefix, utf8, words_of
 
 MIN_WORDS, GRAM_WORDS = 40, 20
 
@@ -189,19 +189,20 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = G
     `prefix`; a column of docs so named is replaced.
     """
     runs = repeated_runs(docs, min_words, gram_words)
-    cut = stored(runs.groupBy("doc_id", "name").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_runs")), "runs")
-    cut = cut.select(F.col("doc_id").alias("_id"), F.col("name").alias("_name"), "_runs")
-    docs = docs.drop(f"{prefix}n_removed", "_id", "_name", "_runs")
-    same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_name"))
+    docs = docs.drop(f"{prefix}n_removed")
+    own = unused_prefix(docs)
+    spans = F.array_sort(F.collect_set(F.struct("start", "end")))
+    cut = stored(runs.groupBy(F.col("doc_id").alias(f"{own}id"), F.col("name").alias(f"{own}name")).agg(spans.alias(f"{own}runs")), "runs")
+    same = (F.col("doc_id") == F.col(f"{own}id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(f"{own}name"))
     # The runs grow with the documents, so the plan is that of a large table at every size.
-    joined = docs.join(cut.hint("merge"), same, "left").select(*docs.columns, "_runs")
-    lines = F.split("text", SPLIT)
-    inside = lambda i: F.exists("_runs", lambda r: (r["start"] <= i) & (i < r["end"]))
+    joined = docs.join(cut.hint("merge"), same, "left").select(*docs.columns, f"{own}runs")
+    cuts, lines = F.col(f"{own}runs"), F.split("text", SPLIT)
+    inside = lambda i: F.exists(cuts, lambda r: (r["start"] <= i) & (i < r["end"]))
     left = F.array_join(F.filter(lines, lambda x, i: ~inside(i)), "")
     # Runs may overlap: each counts from where those before it end.
     step = lambda s, r: F.struct(F.greatest(s["end"], r["end"]).alias("end"), (s["n"] + F.greatest(F.lit(0), r["end"] - F.greatest(s["end"], r["start"]))).alias("n"))
-    removed = F.aggregate("_runs", F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")), step, lambda s: s["n"])
+    removed = F.aggregate(cuts, F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")), step, lambda s: s["n"])
     return joined.select(
-        *[F.when(F.col("_runs").isNull(), F.col("text")).otherwise(left).alias("text") if c == "text" else F.col(c) for c in docs.columns],
+        *[F.when(cuts.isNull(), F.col("text")).otherwise(left).alias("text") if c == "text" else F.col(c) for c in docs.columns],
         F.coalesce(removed, F.lit(0)).cast("long").alias(f"{prefix}n_removed"),
     )

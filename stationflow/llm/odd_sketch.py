@@ -231,4 +231,4 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, block_shingl
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs that stay, one document of each group."""
     gone = stored(near_duplicates(docs, k, percent).where("not kept").select("doc_id").distinct(), "copies")
-    return docs.join(gone, "doc_id", "left_anti")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

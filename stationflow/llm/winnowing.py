@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from stationflow.llm.common import bounded_batches, id_and_text, mix, pieces, salts
 
 K, WINDOW = 10, 24
-#: Text in one range, by which the number of ranges is chosen.
-RANGE_MB = 16
+#: Text in one range, by which the number of ranges is chosen, and their largest number, as their bounds pass the driver.
+#: Longer ranges run through a task just as well: it holds one batch at a time.
+RANGE_MB, MOST_RANGES = 4, 100_000
 
 _LAST = np.uint64(2**64 - 1)
 _PLACES = (1 << 20) - 1
@@ -130,7 +131,7 @@ def edit_fingerprints(docs: DataFrame, k: int = K, window: int = WINDOW) -> Data
     bounded_batches(spark)
     rows = id_and_text(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(_LOWEST)))
     megabytes = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0] / (1 << 20)
-    ranges = max(1, math.ceil(megabytes / RANGE_MB))
+    ranges = max(1, min(math.ceil(megabytes / RANGE_MB), MOST_RANGES))
     cuts = rows.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 1 / (8 * ranges)) if ranges > 1 else []
     cuts = np.unique(np.array(cuts, np.int64))
 
