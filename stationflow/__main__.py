@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import argparse
 
-from stationflow.operators.training import FAMILIES
+from pyspark.sql import functions as F
+
+from stationflow.operators.forecast import TIME_TEXT
+from stationflow.operators.training import DEFAULT_SETTINGS, FAMILIES, TreeSettings
+from stationflow.operators.trips import unmatched_files, with_file_name
 from stationflow.plans import forecasting, medallion, training
 from stationflow.session import build_session
-from stationflow.sources.tables import DEFAULT_FORMAT, write_table
+from stationflow.sources.tables import DEFAULT_FORMAT, read_table, write_table
 
 JOBS = ("ingest", "bronze", "silver", "gold", "train", "forecast")
 
@@ -23,6 +27,16 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--representative", default="independent", choices=("independent", "row"))
     parser.add_argument("--keep-keys", action="store_true", help="keep station id and time through gold")
     parser.add_argument("--observed", action="store_true", help="mark observed weekdays of fixed holidays")
+    parser.add_argument("--recursive", action="store_true", help="read trip files of subfolders too")
+    parser.add_argument("--unreadable", default="keep", choices=("keep", "reject"), help="trips whose time can't be read")
+    parser.add_argument("--partition-by-year", action="store_true")
+    parser.add_argument("--split-keys", nargs="*", default=(), help="split by a hash of these columns; needs --keep-keys")
+    parser.add_argument("--num-trees", type=int, default=DEFAULT_SETTINGS.num_trees)
+    parser.add_argument("--max-depth", type=int, default=DEFAULT_SETTINGS.max_depth)
+    parser.add_argument("--seed", type=int, default=DEFAULT_SETTINGS.seed)
+    parser.add_argument("--start", help="first hour of a forecast for all stations, as yyyy-MM-dd HH:mm")
+    parser.add_argument("--requests", help="table of requests (station_name, start, is_holiday) to forecast")
+    parser.add_argument("--run-id", help="forecast with this run, not the latest")
     parser.add_argument("--holiday", default="flag", choices=("flag", "calendar"))
     return parser.parse_args(argv)
 
@@ -33,17 +47,26 @@ def main(argv: list[str] | None = None) -> None:
     lake = medallion.LakePaths(args.root.rstrip("/"), args.format)
     keys = ("station_id", "time") if args.keep_keys else ()
     if args.job == "ingest":
-        medallion.ingest(spark, lake)
+        medallion.ingest(spark, lake, args.recursive)
     elif args.job == "bronze":
         medallion.refine_to_bronze(spark, lake, args.preserve_time, args.representative)
+        raw = read_table(spark, lake.layer("raw"), lake.fmt)
+        dropped = unmatched_files(with_file_name(raw)).agg(F.count("*").alias("files"), F.sum("dropped_rows").alias("trips")).first()
+        print(f"of no known time format: {dropped.files} files, {dropped.trips or 0} trips")
     elif args.job == "silver":
-        medallion.refine_to_silver(spark, lake, args.keep_keys, args.observed)
+        nulls = medallion.refine_to_silver(
+            spark, lake, args.keep_keys, args.observed, args.partition_by_year, args.unreadable
+        )
+        print(f"missing values by column: {nulls.first().asDict()}")
     elif args.job == "gold":
-        medallion.refine_to_gold(spark, lake, *keys)
+        medallion.refine_to_gold(spark, lake, *keys, split_keys=args.split_keys, seed=args.seed)
     elif args.job == "train":
-        training.train_both(spark, lake, args.family, split_keys=keys)
+        settings = TreeSettings(num_trees=args.num_trees, max_depth=args.max_depth, seed=args.seed)
+        training.train_both(spark, lake, args.family, settings)
     else:
-        result = forecasting.forecast(spark, lake, family=args.family, holiday=args.holiday)
+        requests = read_table(spark, args.requests, lake.fmt) if args.requests else None
+        start = F.to_timestamp(F.lit(args.start), TIME_TEXT) if args.start else None
+        result = forecasting.forecast(spark, lake, requests, args.family, args.holiday, start, args.run_id)
         write_table(result, lake.layer("forecast"), lake.fmt)
 
 

@@ -35,14 +35,15 @@ def station_dimension(observations: DataFrame, representative: str = "independen
             *[F.min(field).alias(field) for field in STATION_FIELDS if field != "id"]
         )
     if representative == "row":
-        per_point = observations.groupBy("id", "name", "latitude").agg(F.min("longitude").alias("longitude"))
-        seen = F.struct("name", "latitude", "longitude")
-        named = F.min(F.when(F.col("name").isNotNull(), seen))
-        return (
-            per_point.groupBy("id")
-            .agg(F.coalesce(named, F.min(seen)).alias("seen"))
-            .select("id", "seen.*")
-        )
+        # Names first: a hashed count per (id, name) leaves few rows for the text minimum. The names then meet
+        # the observations again, of which only those of an id's name go on to the minimum over points.
+        names = observations.groupBy("id", "name").agg(F.count("*").alias("n")).groupBy("id").agg(F.min("name").alias("first"))
+        names = names.select(F.col("id").alias("of"), "first")
+        same = F.col("id").eqNullSafe(F.col("of")) & F.col("name").eqNullSafe(F.col("first"))
+        chosen = observations.join(names, same, "left_semi")
+        per_point = chosen.groupBy("id", "name", "latitude").agg(F.min("longitude").alias("longitude"))
+        seen = F.min(F.struct("latitude", "longitude")).alias("seen")
+        return per_point.groupBy("id", "name").agg(seen).select("id", "name", "seen.*")
     raise ValueError(f"representative must be 'independent' or 'row', not {representative!r}")
 
 
@@ -61,15 +62,20 @@ def with_coordinates(demand: DataFrame, stations: DataFrame, keep_keys: bool = F
     return joined if keep_keys else joined.drop("station_id")
 
 
-def lookup_by_name(requests: DataFrame, stations: DataFrame, name: str = "station_name") -> DataFrame:
-    """Coordinates for each request's station name; requests for unknown names drop out.
-
-    A name that several stations share stands for the one with the lowest id.
-    """
-    points = (
+def station_points(stations: DataFrame) -> DataFrame:
+    """One row per station name: station_name, station_id and coordinates of the lowest id that bears it."""
+    return (
         stations.filter(F.col("name").isNotNull())
-        .groupBy(F.col("name").alias(name))
+        .groupBy(F.col("name").alias("station_name"))
         .agg(F.min(F.struct("id", "latitude", "longitude")).alias("point"))
-        .select(name, F.col("point.id").alias("station_id"), "point.latitude", "point.longitude")
+        .select("station_name", F.col("point.id").alias("station_id"), "point.latitude", "point.longitude")
     )
-    return requests.join(points, name, "inner")
+
+
+def lookup_by_name(requests: DataFrame, points: DataFrame) -> DataFrame:
+    """Coordinates for each request's station name; requests for unknown names drop out.
+
+    ``points`` is a stored table of ``station_points``: both sides are then plain scans under their
+    shuffles, which is what lets AQE split a name that most requests ask for.
+    """
+    return requests.join(points, "station_name", "inner")

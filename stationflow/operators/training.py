@@ -30,6 +30,12 @@ class TreeSettings:
     min_instances_per_node: int = 100
     max_bins: int = 32
     seed: int = 29
+    # Memory for the statistics of the nodes grown in one pass. More memory takes fewer passes, but nodes then
+    # draw their features in another order, so trees of another size of it differ.
+    max_memory_mb: int = 1024
+    # Each row keeps its node per tree and is not walked down from the root on each level; the trees are the same.
+    cache_node_ids: bool = True
+    checkpoint_interval: int = 10
 
 
 DEFAULT_SETTINGS = TreeSettings()
@@ -48,6 +54,9 @@ def _shared_params(label: str, prediction: str, s: TreeSettings) -> dict:
         minInstancesPerNode=s.min_instances_per_node,
         maxBins=s.max_bins,
         seed=s.seed,
+        maxMemoryInMB=s.max_memory_mb,
+        cacheNodeIds=s.cache_node_ids,
+        checkpointInterval=s.checkpoint_interval,
     )
 
 

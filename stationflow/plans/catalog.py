@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,7 @@ from stationflow.plans.medallion import (
     clean_trips,
     ingest,
     load_features,
+    read_gold,
     refine_to_bronze,
     refine_to_gold,
     refine_to_silver,
@@ -44,8 +45,9 @@ from stationflow.sources.tables import read_table, write_table
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Boosting grows its trees one after the other, so the check runs fit fewer of them.
-CHECK_SETTINGS = training.TreeSettings(num_trees=10)
+# Runs of a session that several queries read: lake by application and tables, families trained in it.
+_LAKES: dict[tuple[str, str], LakePaths] = {}
+_TRAINED: dict[tuple[str, str, str], str] = {}
 
 FEATURE_COUNT = 30
 
@@ -76,9 +78,12 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _silver(spark: SparkSession, sf_dir: str, keep_keys: bool = False) -> DataFrame:
-    """Silver rows, stored first: fitting passes over them more than once."""
-    path = fresh_path(spark, "silver")
-    write_table(silver_rows(testbed.bronze(spark, sf_dir), testbed.stations(spark, sf_dir), keep_keys), path)
+    return silver_rows(testbed.bronze(spark, sf_dir), testbed.stations(spark, sf_dir), keep_keys)
+
+
+def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "points")
+    write_table(stations.station_points(testbed.stations(spark, sf_dir)), path)
     return read_table(spark, path)
 
 
@@ -87,6 +92,7 @@ def _stored_silver(spark: SparkSession, sf_dir: str, keep_keys: bool = False) ->
     lake = LakePaths(fresh_path(spark, "lake"))
     write_table(testbed.bronze(spark, sf_dir), lake.layer("bronze"))
     write_table(testbed.stations(spark, sf_dir), lake.layer("station"))
+    write_table(stations.station_points(read_table(spark, lake.layer("station"))), lake.layer("station_point"))
     refine_to_silver(spark, lake, keep_keys=keep_keys)
     return lake
 
@@ -97,10 +103,27 @@ def _stored_gold(spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = ()) -
     return lake
 
 
-def _trained(spark: SparkSession, sf_dir: str, family: str = "random_forest") -> LakePaths:
-    lake = _stored_gold(spark, sf_dir)
-    training_jobs.train_both(spark, lake, family, CHECK_SETTINGS)
-    return lake
+def _trained(spark: SparkSession, sf_dir: str, family: str = "random_forest") -> tuple[LakePaths, str]:
+    """A lake and the id of a run of this family with the production settings; queries of a session share them."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _LAKES:
+        _LAKES[at] = _stored_gold(spark, sf_dir, keys=("station_id", "time"))
+    if (*at, family) not in _TRAINED:
+        _TRAINED[*at, family] = training_jobs.train_both(spark, _LAKES[at], family)
+    return _LAKES[at], _TRAINED[*at, family]
+
+
+def _label_ranges(lake: LakePaths, spark: SparkSession) -> dict[str, tuple[int, int]]:
+    """Least and largest value of each label: one row."""
+    ends = [f(label).alias(f"{name}_{label}") for label in features.LABELS for name, f in (("low", F.min), ("high", F.max))]
+    row = read_gold(spark, lake).agg(*ends).first()
+    return {label: (row[f"low_{label}"], row[f"high_{label}"]) for label in features.LABELS}
+
+
+def _in_range(lake: LakePaths, spark: SparkSession) -> Column:
+    """Whether both predictions lie within their labels' values, as means of training rows do."""
+    parts = [F.col(p).between(*_label_ranges(lake, spark)[label]) for label, p in zip(features.LABELS, forecast.PREDICTIONS, strict=True)]
+    return F.coalesce(parts[0] & parts[1], F.lit(False)).alias("in_range")
 
 
 def _unpacked(df: DataFrame, vector: str, size: int, *kept: str) -> DataFrame:
@@ -202,8 +225,8 @@ def surrogate_row_id(spark, sf_dir):
 def feature_model_roundtrip(spark, sf_dir):
     encoded = encode_cycles(_silver(spark, sf_dir))
     lake = LakePaths(fresh_path(spark, "lake"))
-    features.fit_features(encoded).write().overwrite().save(lake.features)
-    loaded = load_features(lake)
+    features.fit_features(encoded).write().overwrite().save(lake.features("one"))
+    loaded = load_features(lake, "one")
     return _unpacked(
         features.gold_rows(loaded, encoded), features.FEATURES, FEATURE_COUNT, *features.LABELS
     )
@@ -213,8 +236,8 @@ def feature_model_roundtrip(spark, sf_dir):
 def model_roundtrip(spark, sf_dir):
     """How many rows a saved and loaded model predicts exactly as the fitted one."""
     lake = _stored_gold(spark, sf_dir)
-    gold = read_table(spark, lake.layer("gold"))
-    model = training.random_forest("bike_demand", "fitted", CHECK_SETTINGS).fit(gold)
+    gold = read_gold(spark, lake)
+    model = training.random_forest("bike_demand", "fitted").fit(gold)
     path = training_jobs.model_path(lake, "random_forest", "bike_demand", "roundtrip")
     model.write().overwrite().save(path)
     loaded = training_jobs.load_model(lake, "random_forest", "bike_demand", "roundtrip")
@@ -533,63 +556,101 @@ def train_split_keyed(spark, sf_dir):
     return training.keyed_split(keyed, ["station_id", "hour_key"]).select("station_id", "time", "split")
 
 
-def _fitted_metrics(spark, sf_dir, family: str) -> DataFrame:
-    lake = _stored_gold(spark, sf_dir)
-    split = fresh_path(spark, "split")
-    write_table(training.random_split(read_table(spark, lake.layer("gold"))), split, partition_by=["split"])
-    estimator = training.family_of(family).estimator(
-        "bike_demand", "predicted_bike_demand", CHECK_SETTINGS
-    )
-    return training.fit_and_evaluate(estimator, read_table(spark, split))[1]
+def _one_stump(spark, sf_dir, family: str) -> DataFrame:
+    """Metrics of one tree of one split on the holiday flag alone: its predictions are the two group means."""
+    silver = _silver(spark, sf_dir, keep_keys=True).withColumn("hour_key", F.date_format("time", "yyyy-MM-dd HH"))
+    flag = array_to_vector(F.array(F.col("is_holiday").cast("double"))).alias(features.FEATURES)
+    rows = training.keyed_split(silver, ["station_id", "hour_key"]).select(flag, "bike_demand", "split")
+    path = fresh_path(spark, "stump")
+    write_table(rows, path, partition_by=["split"])
+    settings = training.TreeSettings(num_trees=1, max_depth=1, subsampling_rate=1.0, min_instances_per_node=1)
+    estimator = training.family_of(family).estimator("bike_demand", "predicted_bike_demand", settings)
+    if family == "random_forest":
+        estimator = estimator.setBootstrap(False)
+    metrics = training.fit_and_evaluate(estimator, read_table(spark, path))[1]
+    return _rounded(metrics, "value")
 
 
 @query
 def train_rf(spark, sf_dir):
-    return _fitted_metrics(spark, sf_dir, "random_forest")
+    return _one_stump(spark, sf_dir, "random_forest")
 
 
 @query
 def train_gbt(spark, sf_dir):
-    return _fitted_metrics(spark, sf_dir, "gbt")
+    return _one_stump(spark, sf_dir, "gbt")
+
+
+def _recomputed(spark, sf_dir, family: str) -> DataFrame:
+    """Logged metrics of a full run, and whether metrics worked out anew from its models' predictions agree."""
+    lake, run_id = _trained(spark, sf_dir, family)
+    logged = read_table(spark, lake.layer(training_jobs.METRICS)).filter(F.col("run_id") == run_id)
+    held_out = read_gold(spark, lake).filter(F.col("split") != "train")
+    anew = None
+    for label, prediction in zip(features.LABELS, forecast.PREDICTIONS, strict=True):
+        scored = training_jobs.load_model(lake, family, label, run_id).transform(held_out)
+        error = F.pow(F.col(label) - F.col(prediction), 2)
+        sums = scored.groupBy("split").agg(
+            F.sqrt(F.avg(error)).alias("rmse"), (1 - F.sum(error) / (F.var_pop(label) * F.count("*"))).alias("r2")
+        )
+        rows = sums.unpivot("split", ["rmse", "r2"], "metric", "anew").withColumn("label", F.lit(label))
+        anew = rows if anew is None else anew.unionByName(rows)
+    near = F.abs(F.col("value") - F.col("anew")) <= 1e-6 * F.greatest(F.lit(1.0), F.abs("anew"))
+    return logged.join(anew, ["label", "split", "metric"], "full").select(
+        "label", "split", "metric", F.coalesce(near, F.lit(False)).alias("agrees"), "model"
+    )
 
 
 @query
 def train_two_targets(spark, sf_dir):
-    lake = _stored_gold(spark, sf_dir, keys=("station_id", "time"))
-    training_jobs.train_both(spark, lake, "random_forest", CHECK_SETTINGS, ("station_id", "time"))
-    return read_table(spark, lake.layer(training_jobs.METRICS)).select("label", "split", "metric", "value")
+    return _recomputed(spark, sf_dir, "random_forest").drop("model")
 
 
 @query
 def experiment_metrics(spark, sf_dir):
-    lake = _trained(spark, sf_dir)
-    return read_table(spark, lake.layer(training_jobs.METRICS))
+    """Metrics of the runs logged so far whose features and models are stored under their versions."""
+    _trained(spark, sf_dir, "gbt")
+    lake, _ = _trained(spark, sf_dir)
+    rows = read_table(spark, lake.layer(training_jobs.METRICS))
+    ids = rows.groupBy("model", "label", "split", "metric").agg(
+        F.count_distinct("run_id").alias("n_runs"), F.count_distinct("features").alias("n_features"),
+        F.count_if(F.col("logged_at").isNull() | F.col("value").isNull()).alias("n_null"),
+    )
+    return ids
 
 
 @query
 def model_version_score(spark, sf_dir):
-    """How many rows an earlier run's model, found by its run id after a later run was stored, predicts
-    as it did before that run."""
-    lake = _stored_gold(spark, sf_dir)
-    first = training_jobs.train_both(spark, lake, "random_forest", CHECK_SETTINGS)
-    before = training_jobs.load_model(lake, "random_forest", "bike_demand", first)
-    training_jobs.train_both(spark, lake, "random_forest", CHECK_SETTINGS)
-    after = training_jobs.load_model(lake, "random_forest", "bike_demand", first)
-    gold = read_table(spark, lake.layer("gold"))
-    both = after.setPredictionCol("after").transform(before.setPredictionCol("before").transform(gold))
-    return both.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("before") == F.col("after")).alias("n_same"),
+    """Rows of each year, and those an earlier run predicts as it did before gold and its features were
+    fitted again on other rows."""
+    lake = _stored_silver(spark, sf_dir, keep_keys=True)
+    silver = read_table(spark, lake.layer("silver"))
+    path = fresh_path(spark, "silver")
+    write_table(silver, path)
+    silver = read_table(spark, path)
+    refine_to_gold(spark, lake, "station_id", "time")
+    first = training_jobs.train_both(spark, lake, "random_forest")
+    keys = ["station_id", "time"]
+    before, after = fresh_path(spark, "before"), fresh_path(spark, "after")
+    write_table(forecasting.predict(spark, silver, lake, "random_forest").select(*keys, *forecast.PREDICTIONS), before)
+    write_table(silver.filter("year >= 2021"), lake.layer("silver"))
+    refine_to_gold(spark, lake, "station_id", "time")
+    write_table(
+        forecasting.predict(spark, silver, lake, "random_forest", first).select(*keys, *[F.col(p).alias(f"again_{p}") for p in forecast.PREDICTIONS]), after
+    )
+    both = read_table(spark, before).join(read_table(spark, after), keys)
+    same = [F.col(p) == F.col(f"again_{p}") for p in forecast.PREDICTIONS]
+    return both.groupBy(F.year("time").alias("year")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(same[0] & same[1]).alias("n_same")
     )
 
 
 @query
 def score_both_targets(spark, sf_dir):
-    lake = _trained(spark, sf_dir, "gbt")
+    lake, run_id = _trained(spark, sf_dir)
     silver = read_table(spark, lake.layer("silver"))
-    return forecasting.predict(spark, silver, lake, "gbt").select(
-        *features.LABELS, *forecast.PREDICTIONS
-    )
+    scored = forecasting.predict(spark, silver, lake, "random_forest", run_id)
+    return scored.select("station_id", "time", *features.LABELS, _in_range(lake, spark))
 
 
 # -- forecast ----------------------------------------------------------------------------------------
@@ -598,7 +659,7 @@ def score_both_targets(spark, sf_dir):
 @query
 def station_lookup(spark, sf_dir):
     return stations.lookup_by_name(
-        testbed.requests(spark, sf_dir), testbed.stations(spark, sf_dir)
+        testbed.requests(spark, sf_dir), _points(spark, sf_dir)
     ).select("event_id", "station_name", "latitude", "longitude")
 
 
@@ -611,7 +672,7 @@ def forecast_horizon(spark, sf_dir):
 
 def _grid(spark, sf_dir, holiday: str = "flag") -> DataFrame:
     return forecast.forecast_grid(
-        testbed.requests(spark, sf_dir), testbed.stations(spark, sf_dir), holiday
+        testbed.requests(spark, sf_dir), _points(spark, sf_dir), holiday
     )
 
 
@@ -661,23 +722,18 @@ def forecast_unify(spark, sf_dir):
 
 @query
 def forecast_demand(spark, sf_dir):
-    lake = _trained(spark, sf_dir)
-    return forecasting.forecast(spark, lake, testbed.requests(spark, sf_dir)).select(
-        "event_id", "station_name", "time", *forecast.PREDICTIONS
-    )
+    lake, run_id = _trained(spark, sf_dir)
+    rows = forecasting.forecast(spark, lake, testbed.requests(spark, sf_dir), run_id=run_id)
+    return rows.select("event_id", "station_name", "time", _in_range(lake, spark))
 
 
 @query
 def forecast_every_station(spark, sf_dir):
     """Every station's next day, starting at the last departure seen anywhere."""
-    lake = _trained(spark, sf_dir)
+    lake, run_id = _trained(spark, sf_dir)
     last = read_table(spark, lake.layer("bronze")).agg(F.max("start_time").alias("start")).first().start
-    requests = forecasting.all_station_requests(
-        read_table(spark, lake.layer("station")), F.lit(last)
-    )
-    return forecasting.forecast(spark, lake, requests, holiday="calendar").select(
-        "station_name", "time", *forecast.PREDICTIONS
-    )
+    rows = forecasting.forecast(spark, lake, holiday="calendar", start=F.lit(last), run_id=run_id)
+    return rows.select("station_id", "time", "is_holiday", _in_range(lake, spark))
 
 
 # -- jobs --------------------------------------------------------------------------------------------
@@ -713,11 +769,27 @@ def job_silver(spark, sf_dir):
 @query
 def job_gold(spark, sf_dir):
     lake = _stored_gold(spark, sf_dir)
-    gold = read_table(spark, lake.layer("gold"))
-    return _unpacked(gold, features.FEATURES, FEATURE_COUNT, *features.LABELS)
+    return _unpacked(read_gold(spark, lake), features.FEATURES, FEATURE_COUNT, *features.LABELS)
 
 
 @query
 def job_train(spark, sf_dir):
-    lake = _trained(spark, sf_dir, "gbt")
-    return read_table(spark, lake.layer(training_jobs.METRICS)).select("label", "split", "metric", "value")
+    return _recomputed(spark, sf_dir, "gbt")
+
+
+@query
+def job_chain(spark, sf_dir):
+    """Raw trips to forecasts through every layer, unreadable times rejected: one row of what each layer holds."""
+    lake = LakePaths(fresh_path(spark, "lake"))
+    write_table(testbed.raw(spark, sf_dir), lake.layer("raw"))
+    refine_to_bronze(spark, lake)
+    refine_to_silver(spark, lake, unreadable="reject")
+    refine_to_gold(spark, lake)
+    training_jobs.train_both(spark, lake)
+    rows = forecasting.forecast(spark, lake, start=F.lit("2024-01-01 08:00:00").cast("timestamp"), holiday="calendar")
+    counted = [read_table(spark, lake.layer(n)).agg(F.count("*").alias(f"n_{n}")) for n in ("raw", "bronze", "rejects", "silver", "station")]
+    counted += [read_gold(spark, lake).agg(F.count("*").alias("n_gold")), rows.agg(F.count_if(_in_range(lake, spark)).alias("n_forecast"))]
+    first, *rest = [c.withColumn("one", F.lit(1)) for c in counted]  # a row each
+    for other in rest:
+        first = first.join(other, "one")
+    return first.drop("one")

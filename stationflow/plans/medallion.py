@@ -6,17 +6,21 @@ returns nothing. A job can be run again after a failure: it only overwrites its
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stationflow.functions.calendar import is_holiday, with_calendar_parts
 from stationflow.functions.cyclic import encode_cycles
 from stationflow.operators.demand import hourly_demand
-from stationflow.operators.features import fit_features, gold_rows
+from stationflow.operators.features import fit_features, gold_rows, null_counts
 from stationflow.operators.harmonize import combine_eras
-from stationflow.operators.stations import station_dimension, station_observations, with_coordinates
+from stationflow.operators.stations import station_dimension, station_observations, station_points, with_coordinates
+from stationflow.operators.training import keyed_split, random_split
 from stationflow.operators.trips import drop_without_station, parse_trip_times, trip_fact, with_file_name
 from stationflow.sources.eras import scan_both_eras
 from stationflow.sources.tables import DEFAULT_FORMAT, read_table, write_table
@@ -35,9 +39,11 @@ class LakePaths:
     def layer(self, name: str) -> str:
         return f"{self.root}/layers/{name}"
 
-    @property
-    def features(self) -> str:
-        return f"{self.root}/models/features"
+    def features(self, version: str) -> str:
+        return f"{self.root}/models/features/{version}"
+
+    def gold(self, version: str) -> str:
+        return self.layer(f"gold/{version}")
 
 
 def silver_rows(
@@ -66,7 +72,7 @@ def ingest(spark: SparkSession, lake: LakePaths, recursive: bool = False) -> Non
 def refine_to_bronze(
     spark: SparkSession, lake: LakePaths, preserve_time: bool = False, representative: str = "independent"
 ) -> None:
-    """Raw to the trip fact (no shuffle) and the station dimension (one small shuffle).
+    """Raw to the trip fact (no shuffle), the station dimension (one small shuffle) and its names.
 
     The two outputs use nearly disjoint columns, so each prunes its own scan and nothing is cached.
     """
@@ -74,6 +80,7 @@ def refine_to_bronze(
     write_table(trip_fact(trips), lake.layer("bronze"), lake.fmt)
     stations = station_dimension(station_observations(trips), representative)
     write_table(stations, lake.layer("station"), lake.fmt)
+    write_table(station_points(read_table(spark, lake.layer("station"), lake.fmt)), lake.layer("station_point"), lake.fmt)
 
 
 def refine_to_silver(
@@ -82,28 +89,60 @@ def refine_to_silver(
     keep_keys: bool = False,
     observed: bool = False,
     partition_by_year: bool = False,
-) -> None:
-    """Bronze and stations to silver: one shuffle on (station, hour).
+    unreadable: str = "keep",
+) -> DataFrame:
+    """Bronze and stations to silver: one shuffle on (station, hour). Returns the NULL counts of silver.
 
+    A trip whose time could not be read has no calendar features, and gold refuses such rows.
+    ``unreadable="reject"`` writes the trips to the ``rejects`` layer and leaves them out of silver.
     ``partition_by_year`` adds a rebalance, so that each year gets files of an even size, not one file
     per task and year.
     """
+    if unreadable not in ("keep", "reject"):
+        raise ValueError(f"unreadable must be 'keep' or 'reject', not {unreadable!r}")
     bronze = read_table(spark, lake.layer("bronze"), lake.fmt)
     stations = read_table(spark, lake.layer("station"), lake.fmt)
+    if unreadable == "reject":
+        readable = F.col("start_time").isNotNull() & F.col("end_time").isNotNull()
+        write_table(bronze.filter(~readable), lake.layer("rejects"), lake.fmt)
+        bronze = bronze.filter(readable)
     silver = silver_rows(bronze, stations, keep_keys, observed)
     if partition_by_year:
         write_table(silver.hint("rebalance", "year"), lake.layer("silver"), lake.fmt, partition_by=["year"])
     else:
         write_table(silver, lake.layer("silver"), lake.fmt)
+    return null_counts(read_table(spark, lake.layer("silver"), lake.fmt))
 
 
-def refine_to_gold(spark: SparkSession, lake: LakePaths, *keys: str) -> None:
-    """Silver to feature vectors; the fitted feature stages are stored next to the models."""
+def refine_to_gold(
+    spark: SparkSession, lake: LakePaths, *keys: str, split_keys: Sequence[str] = (), seed: int = 29
+) -> str:
+    """Silver to feature vectors, stored once by split; returns their version.
+
+    Feature stages and rows are stored under a version of their own, and the version becomes the current one
+    last: a job that breaks off leaves the earlier version whole, and models keep the features they were
+    trained with. ``split_keys`` splits by a hash of these columns rather than at random.
+    """
+    version = uuid.uuid4().hex
     encoded = encode_cycles(read_table(spark, lake.layer("silver"), lake.fmt))
     model = fit_features(encoded)
-    model.write().overwrite().save(lake.features)
-    write_table(gold_rows(model, encoded, *keys), lake.layer("gold"), lake.fmt)
+    model.write().overwrite().save(lake.features(version))
+    rows = gold_rows(model, encoded, *dict.fromkeys((*keys, *split_keys)))
+    split = keyed_split(rows, split_keys) if split_keys else random_split(rows, seed=seed)
+    write_table(split, lake.gold(version), lake.fmt, partition_by=["split"])
+    write_table(spark.range(1).select(F.lit(version).alias("version")), lake.layer("gold_version"), lake.fmt)
+    return version
+
+
+def gold_version(spark: SparkSession, lake: LakePaths) -> str:
+    """Version of the last gold that was completed."""
+    return read_table(spark, lake.layer("gold_version"), lake.fmt).first().version
+
+
+def read_gold(spark: SparkSession, lake: LakePaths, version: str | None = None) -> DataFrame:
+    """Gold rows with their ``split``, of the current version unless another is named."""
+    return read_table(spark, lake.gold(version or gold_version(spark, lake)), lake.fmt)
 
 
-def load_features(lake: LakePaths) -> PipelineModel:
-    return PipelineModel.load(lake.features)
+def load_features(lake: LakePaths, version: str) -> PipelineModel:
+    return PipelineModel.load(lake.features(version))

@@ -144,12 +144,13 @@ def _with(sql: str, *ctes: str) -> str:
 
     for name in ctes:
         add(name)
-    return "WITH " + ",\n".join(f"{name} AS ({CTES[name]})" for name in ordered) + "\n" + sql
+    kept = {name: "MATERIALIZED " if name in ("trips", "keyed_silver") else "" for name in ordered}
+    return "WITH " + ",\n".join(f"{name} AS {kept[name]}({CTES[name]})" for name in ordered) + "\n" + sql
 
 
 def _cleared(expr: str) -> str:
     """Six places, without a negative zero."""
-    return f"CASE WHEN round({expr}, 6) = 0 THEN 0.0 ELSE round({expr}, 6) END"
+    return f"round({expr}, 6) + 0.0"
 
 
 CYCLES = (("dayofmonth", 31), ("weekofyear", 52), ("dayofyear", 365), ("hour", 24))
@@ -198,6 +199,12 @@ _STATS = ", ".join(
     f"avg({expr}) AS mean_{i}, stddev_samp({expr}) AS std_{i}" for i, expr in enumerate(NUMERIC.values())
 )
 _SCALED = [_cleared(f"({expr} - mean_{i}) / std_{i}") for i, expr in enumerate(NUMERIC.values())]
+_KEYED_SPLIT = """(CASE WHEN CAST('0x' || substr(md5(station_id || '|' || strftime(time, '%Y-%m-%d %H')), 1, 8) AS BIGINT)
+                             / 4294967296::DOUBLE < 0.9::DOUBLE THEN 'train'
+                        WHEN CAST('0x' || substr(md5(station_id || '|' || strftime(time, '%Y-%m-%d %H')), 1, 8) AS BIGINT)
+                             / 4294967296::DOUBLE < 0.9::DOUBLE + 0.05::DOUBLE THEN 'val' ELSE 'test' END)"""
+_METRICS = """(VALUES ('bike_demand'), ('dock_demand')) AS labels(label), (VALUES ('val'), ('test')) AS splits(split),
+              (VALUES ('rmse'), ('r2')) AS metrics(metric)"""
 _MONTHS = [f"CAST(month = {slot} AS DOUBLE)" for slot in range(12)]
 _WEEKDAYS = [f"CAST(weekday = {slot} AS DOUBLE)" for slot in range(6)]
 
@@ -301,7 +308,9 @@ ORACLES: dict[str, str] = {
     "surrogate_row_id": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_tasks_with_gaps FROM lineitem",
     "feature_model_roundtrip": GOLD,
     "model_roundtrip": _with("SELECT count(*) AS n_rows, count(*) AS n_same FROM demand", "demand"),
-    "model_version_score": _with("SELECT count(*) AS n_rows, count(*) AS n_same FROM demand", "demand"),
+    "model_version_score": _with(
+        "SELECT CAST(year(time) AS INTEGER) AS year, count(*) AS n_rows, count(*) AS n_same FROM demand GROUP BY ALL", "demand"
+    ),
     "station_names": _with("SELECT name FROM stations", "stations"),
     "harmonize_era1": _with(_HARMONIZED_1, "placed"),
     "harmonize_era2": _with(_HARMONIZED_2, "placed"),
@@ -467,4 +476,49 @@ ORACLES: dict[str, str] = {
         "bronze",
     ),
     "job_silver": SILVER,
+    **{
+        name: _with(
+            f"""SELECT 'bike_demand' AS label, split, unnest(['rmse', 'r2']) AS metric,
+                       round(unnest([sqrt(avg((y - p) ^ 2)), 1 - sum((y - p) ^ 2) / (var_pop(y) * count(*))]), 6) AS value
+                FROM (SELECT split, bike_demand AS y,
+                             avg(bike_demand) FILTER (WHERE split = 'train') OVER (PARTITION BY flag) AS p
+                      FROM (SELECT *, ({HOLIDAY}) AS flag, {_KEYED_SPLIT} AS split FROM keyed_silver))
+                WHERE split <> 'train' GROUP BY split""",
+            "keyed_silver",
+        )
+        for name in ("train_rf", "train_gbt")
+    },
+    "train_two_targets": f"SELECT label, split, metric, true AS agrees FROM {_METRICS}",
+    "job_train": f"SELECT label, split, metric, true AS agrees, 'gbt' AS model FROM {_METRICS}",
+    "experiment_metrics": f"""
+        SELECT model, label, split, metric, CAST(1 AS BIGINT) AS n_runs, CAST(1 AS BIGINT) AS n_features, CAST(0 AS BIGINT) AS n_null
+        FROM {_METRICS}, (VALUES ('random_forest'), ('gbt')) AS families(model)""",
+    "score_both_targets": _with("SELECT station_id, time, bike_demand, dock_demand, true AS in_range FROM demand", "demand"),
+    "forecast_demand": _with(
+        """SELECT event_id, station_name, start + to_hours(h) AS time, true AS in_range
+           FROM requests JOIN stations ON name = station_name, range(24) AS hours(h)""",
+        "requests", "stations",
+    ),
+    "forecast_every_station": _with(
+        f"""SELECT station_id, time, CAST({HOLIDAY} AS INTEGER) AS is_holiday, true AS in_range
+            FROM (SELECT *, month(time) AS month, day(time) AS dayofmonth, isodow(time) - 1 AS weekday
+                  FROM (SELECT id AS station_id, last + to_hours(h) AS time
+                        FROM stations, (SELECT date_trunc('minute', max(start_time))::TIMESTAMP AS last FROM trips), range(24) AS hours(h)))""",
+        "trips", "stations",
+    ),
+    "job_chain": _with(
+        """, readable AS (
+               SELECT * FROM bronze WHERE start_time IS NOT NULL AND end_time IS NOT NULL
+           ), hours AS (
+               SELECT start_station_id AS id, date_trunc('hour', start_time) AS time FROM readable
+               UNION SELECT end_station_id, date_trunc('hour', end_time) FROM readable
+           ), ids AS (
+               SELECT start_station_id AS id FROM bronze UNION SELECT end_station_id FROM bronze
+           )
+           SELECT (SELECT count(*) FROM raw) AS n_raw, (SELECT count(*) FROM bronze) AS n_bronze,
+                  (SELECT count(*) FROM bronze) - (SELECT count(*) FROM readable) AS n_rejects,
+                  (SELECT count(*) FROM hours) AS n_silver, (SELECT count(*) FROM hours) AS n_gold,
+                  (SELECT count(*) FROM ids) AS n_station, 24 * (SELECT count(*) FROM ids) AS n_forecast""",
+        "bronze",
+    ).replace(")\n, readable", "), readable"),
 }

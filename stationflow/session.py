@@ -20,6 +20,8 @@ SESSION_DEFAULTS = {
 
 # A shuffle partition of this size fits an executor core's share of memory with room for its sort or hash.
 SHUFFLE_PARTITION_MB = 128
+# A shuffle without a size given starts with the partitions of this one; AQE merges what is too small.
+DEFAULT_SHUFFLE_GB = 512
 
 
 def build_session(
@@ -31,13 +33,14 @@ def build_session(
     """Session with the defaults above. On a cluster leave ``master`` to spark-submit.
 
     ``shuffle_gb``, the expected size of the largest shuffle, sets how many partitions shuffles start
-    with; AQE merges what turns out too small, but splits no aggregation that starts with too few.
+    with; AQE merges what turns out too small, but splits no aggregation that starts with too few. So the
+    default is high; naming ``spark.sql.shuffle.partitions`` instead takes that number.
     """
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
-    if shuffle_gb is not None:
-        partitions = max(200, math.ceil(shuffle_gb * 1024 / SHUFFLE_PARTITION_MB))
+    if shuffle_gb is not None or "spark.sql.shuffle.partitions" not in conf:
+        partitions = math.ceil((shuffle_gb or DEFAULT_SHUFFLE_GB) * 1024 / SHUFFLE_PARTITION_MB)
         builder = builder.config(
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions)
         )

@@ -24,12 +24,6 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """A table in fewer splits than the session has cores, over all cores; a larger one as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _latitude(station_id: Column, jitter: Column) -> Column:
     return ((F.lit(406000) + station_id * 5 + jitter).cast("double") / 10000).cast("float")
 
@@ -58,7 +52,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").alias("line"),
         F.col("l_returnflag").alias("flag"),
     )
-    return _spread(df)
+    return df
 
 
 def bronze(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
@@ -233,4 +227,4 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").cast("timestamp").alias("start"),
         (F.col("event_type") == "purchase").cast("int").alias("is_holiday"),
     )
-    return _spread(df)
+    return df

@@ -78,10 +78,7 @@ def test_every_sql_has_its_query():
     assert set(ORACLES) <= set(QUERIES)
 
 
-SLOW = {"feature_model_roundtrip", "job_gold", "forecast_features", "model_version_score"}
-
-
-@pytest.mark.parametrize("name", sorted(set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, sf_dir, name):
     assert compare(QUERIES[name](spark, sf_dir), duck(sf_dir), ORACLES[name]) is None
 
@@ -109,9 +106,9 @@ def test_command_line(spark, tmp_path):
         folder.mkdir(parents=True)
         (folder / name).write_text(text)
     for job in ("ingest", "bronze", "silver", "gold"):
-        command_line(["--root", str(root), job, "--keep-keys", "--preserve-time"])
-    gold = read_table(spark, str(root / "layers" / "gold"))
-    assert gold.columns == ["station_id", "time", "final_features", "bike_demand", "dock_demand"]
+        command_line(["--root", str(root), job, "--keep-keys", "--preserve-time", "--unreadable", "reject"])
+    gold = medallion.read_gold(spark, medallion.LakePaths(str(root)))
+    assert gold.columns == ["station_id", "time", "final_features", "bike_demand", "dock_demand", "split"]
     assert gold.count() == 6
 
 

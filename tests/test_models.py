@@ -8,9 +8,11 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from stationflow.functions.calendar import with_calendar_parts
 from stationflow.functions.cyclic import encode_cycles
 from stationflow.operators import features, forecast, training
 from stationflow.operators.evaluation import evaluate
+from stationflow.operators.stations import station_points
 from stationflow.plans import forecasting, medallion
 from stationflow.plans import training as jobs
 from stationflow.session import fresh_path
@@ -26,23 +28,30 @@ def lake(spark, sf_dir):
     write_table(testbed.raw(spark, sf_dir), lake.layer("raw"))
     medallion.refine_to_bronze(spark, lake)
     # Trips whose times could not be read count at an unknown hour; the features refuse them.
-    readable = read_table(spark, lake.layer("bronze")).dropna()
-    write_table(readable, lake.layer("readable"))
-    stations = read_table(spark, lake.layer("station"))
-    write_table(medallion.silver_rows(readable, stations), lake.layer("silver"))
+    nulls = medallion.refine_to_silver(spark, lake, unreadable="reject").first()
+    assert nulls.year == 0 and read_table(spark, lake.layer("rejects")).count() > 0
     medallion.refine_to_gold(spark, lake)
     return lake
 
 
 def test_gold(spark, lake):
-    gold = read_table(spark, lake.layer("gold"))
-    assert gold.columns == ["final_features", "bike_demand", "dock_demand"]
+    gold = medallion.read_gold(spark, lake)
+    assert gold.columns == ["final_features", "bike_demand", "dock_demand", "split"]
     assert gold.first().final_features.size == 30
-    assert medallion.load_features(lake).stages[-1].getOutputCol() == "final_features"
+    assert medallion.load_features(lake, medallion.gold_version(spark, lake)).stages[-1].getOutputCol() == "final_features"
 
 
 def test_gold_can_run_again(spark, lake):
-    medallion.refine_to_gold(spark, lake)
+    before = medallion.gold_version(spark, lake)
+    assert medallion.refine_to_gold(spark, lake) == medallion.gold_version(spark, lake) != before
+    assert medallion.read_gold(spark, lake, before).count() == medallion.read_gold(spark, lake).count()
+
+
+def test_unreadable_times(spark, lake):
+    with pytest.raises(ValueError):
+        medallion.refine_to_silver(spark, lake, unreadable="drop")
+    bronze, rejects = (read_table(spark, lake.layer(n)) for n in ("bronze", "rejects"))
+    assert rejects.count() == bronze.filter("start_time IS NULL OR end_time IS NULL").count()
 
 
 def test_missing_feature_raises(spark, lake):
@@ -50,12 +59,12 @@ def test_missing_feature_raises(spark, lake):
     broken = encode_cycles(silver.withColumn("latitude", F.lit(None).cast("float")))
     assert features.null_counts(silver).first().latitude == 0
     with pytest.raises(Exception):
-        medallion.load_features(lake).transform(broken).select("final_features").collect()
+        medallion.load_features(lake, medallion.gold_version(spark, lake)).transform(broken).select("final_features").collect()
 
 
 def test_one_hot_edges(spark, lake):
     encoded = encode_cycles(read_table(spark, lake.layer("silver")))
-    out = medallion.load_features(lake).transform(encoded)
+    out = medallion.load_features(lake, medallion.gold_version(spark, lake)).transform(encoded)
     december = out.filter("month = 12").first().encoded_month
     sunday = out.filter("weekday = 6").first().encoded_weekday
     june = out.filter("month = 6").first().encoded_month
@@ -125,7 +134,7 @@ def test_metrics_table(spark, lake, trained):
 
 
 def test_models_beat_the_mean_on_learnable_labels(spark, lake):
-    gold = read_table(spark, lake.layer("gold"))
+    gold = medallion.read_gold(spark, lake).drop("split")
     learnable = gold.withColumn("bike_demand", (vector_to_array("final_features")[29] * 20).cast("long"))
     data = training.keyed_split(learnable.withColumn("key", F.monotonically_increasing_id()), ["key"])
     for family in training.FAMILIES.values():
@@ -138,12 +147,20 @@ def test_saved_models_load_with_their_own_class(spark, lake, trained):
     for family, run in trained.items():
         model = jobs.load_model(lake, family, "dock_demand", run)
         assert isinstance(model, training.FAMILIES[family].model_class)
-        assert jobs.latest_run(spark, lake, family, "dock_demand") == run
+        assert jobs.latest_run(spark, lake, family) == (run, medallion.gold_version(spark, lake))
 
 
 def test_no_run_yet(spark, lake, trained):
     with pytest.raises(LookupError):
-        jobs.latest_run(spark, lake, "gbt", "other_label")
+        jobs.latest_run(spark, lake, "gbt", "no such run")
+    with pytest.raises(ValueError):
+        jobs.latest_run(spark, lake, "other")
+
+
+def test_a_run_of_one_label_is_not_the_latest(spark, lake, trained):
+    half = jobs.Run("half", medallion.gold_version(spark, lake))
+    jobs.train_label(medallion.read_gold(spark, lake), lake, "bike_demand", "gbt", half, SMALL)
+    assert jobs.latest_run(spark, lake, "gbt").run_id == trained["gbt"]
 
 
 @pytest.mark.parametrize("family", list(training.FAMILIES))
@@ -171,6 +188,7 @@ def test_grid_flag_and_calendar(spark):
         [("A", datetime(2024, 7, 3, 12), 1), ("B", datetime(2024, 7, 3, 12), 0)],
         "station_name string, start timestamp, is_holiday int",
     )
+    stations = station_points(stations)
     flagged = forecast.forecast_grid(asked, stations)
     assert flagged.count() == 24 and {r.is_holiday for r in flagged.collect()} == {1}
     worked_out = forecast.forecast_grid(asked, stations, "calendar").collect()
@@ -181,13 +199,30 @@ def test_grid_flag_and_calendar(spark):
 
 def test_forecast_every_station_from_now(spark, lake, trained):
     got = forecasting.forecast(spark, lake)
-    n = read_table(spark, lake.layer("station")).select("name").distinct().count()
+    n = read_table(spark, lake.layer("station")).select("id").distinct().count()
     assert got.count() == 24 * n
     assert set(got.columns) == {
         "station_name", "station_id", "latitude", "longitude", "is_holiday", "time", *forecast.PREDICTIONS
     }
     assert dict(got.dtypes)["predicted_bike_demand"] == "bigint"
-    assert got.select("station_name", "time").distinct().count() == 24 * n
+    assert got.select("station_id", "time").distinct().count() == 24 * n
+
+
+def test_stations_that_share_or_lack_a_name_are_all_asked_for(spark):
+    table = spark.createDataFrame([(72, "W", 1.0, 2.0), (6926, "W", 3.0, 4.0), (80, None, 5.0, 6.0)], "id int, name string, latitude float, longitude float")
+    asked = forecasting.all_station_requests(table, F.lit("2024-01-01").cast("timestamp"))
+    assert sorted(r.station_id for r in asked.collect()) == [72, 80, 6926]
+    assert forecast.hourly_grid(asked).count() == 72
+
+
+def test_answers_are_those_of_each_row(spark, lake, trained):
+    names = read_table(spark, lake.layer("station_point")).select("station_name").limit(3)
+    starts = spark.createDataFrame([(i, datetime(2024, 1, 1, 5, i % 4 * 7), i % 2) for i in range(12)], "req int, start timestamp, is_holiday int")
+    asked = names.join(starts, F.lit(True))
+    got = {(r.req, r.station_name, r.time): (r.predicted_bike_demand, r.predicted_dock_demand) for r in forecasting.forecast(spark, lake, asked).collect()}
+    grid = forecast.forecast_grid(asked, read_table(spark, lake.layer("station_point")))
+    rows = forecast.round_predictions(forecasting.predict(spark, with_calendar_parts(grid, keep_time=True), lake, "random_forest"))
+    assert got == {(r.req, r.station_name, r.time): (r.predicted_bike_demand, r.predicted_dock_demand) for r in rows.collect()}
 
 
 def test_unify(spark):

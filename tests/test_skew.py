@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from stationflow.operators import demand, stations
-from stationflow.operators.forecast import forecast_grid
+from stationflow.operators.stations import lookup_by_name, station_points
+from stationflow.session import fresh_path
+from stationflow.sources.tables import read_table, write_table
 
 ROWS = 30000
 
@@ -57,21 +59,37 @@ def test_stations_hash_before_they_sort(spark, trips):
     assert dim.count() == 51
 
 
-@pytest.mark.parametrize("threshold", ["10MB", "-1"])
-def test_hot_request_keeps_all_rows(spark, threshold):
-    names = F.when(F.col("id") % 3 == 0, F.lit("S1")).otherwise(F.concat(F.lit("S"), (F.col("id") % 9).cast("string")))
-    asked = spark.range(300).select(
-        "id", names.alias("station_name"), F.lit("2024-01-01").cast("timestamp").alias("start"), F.lit(0).alias("is_holiday")
-    )
-    table = spark.range(9).select(
+def test_a_hot_name_is_split(spark):
+    """Two thirds of the requests ask for one station; without a broadcast AQE deals them to several tasks."""
+    names = F.when(F.col("id") % 3 > 0, F.lit("S1")).otherwise(F.concat(F.lit("S"), (F.col("id") % 900).cast("string")))
+    padding = F.sha2(F.col("id").cast("string"), 256)
+    asked, table = fresh_path(spark, "asked"), fresh_path(spark, "points")
+    write_table(spark.range(60_000).repartition(8).select("id", names.alias("station_name"), padding.alias("padding")), asked)
+    known = spark.range(900).select(
         F.col("id").cast("int").alias("id"),
         F.concat(F.lit("S"), F.col("id").cast("string")).alias("name"),
         F.lit(1.0).alias("latitude"),
         F.lit(2.0).alias("longitude"),
     )
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    write_table(station_points(known), table)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
-        assert forecast_grid(asked, table).count() == 300 * 24
+        found = lookup_by_name(read_table(spark, asked), read_table(spark, table))
+        assert found.count() == 60_000
+        path = fresh_path(spark, "found")
+        write_table(found.withColumn("task", F.spark_partition_id()), path)
+        tasks = [r.n for r in read_table(spark, path).groupBy("task").agg(F.count("*").alias("n")).collect()]
+        assert max(tasks) <= 20_000 and len(tasks) > 3  # the hot name alone has 40,000 rows
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -162,5 +162,5 @@ def test_station_lookup_takes_the_lowest_id_of_a_name(spark):
         "id int, name string, latitude float, longitude float",
     )
     asked = spark.createDataFrame([(1, "A"), (2, "B"), (3, "nowhere")], "req int, station_name string")
-    got = stations.lookup_by_name(asked, table)
+    got = stations.lookup_by_name(asked, stations.station_points(table))
     assert rows(got, "req", "station_id", "latitude") == [(1, 3, 2.0), (2, 5, 3.0)]
