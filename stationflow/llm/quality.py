@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from stationflow.llm.common import bounded_batches, id_and_text, lower_ascii, pieces, stored, utf8, words_of
 
-#: Weight of the pooled covariance, and then of the identity.
-POOLED, ROUND = 0.1, 0.02
+#: Weight of the pooled covariance, and then of the identity. Besides, the pooled one counts as that of ROWS rows of
+#: each class, which matters for a class with few.
+POOLED, ROUND, ROWS = 0.1, 0.02, 50
 
 _SPACE = np.ones(256, bool)
 _SPACE[0x09:0x0E] = _SPACE[0x20] = False
@@ -116,7 +117,7 @@ class Discriminant:
         return density[1] - density[0]
 
 
-def discriminant(n: np.ndarray, sums: np.ndarray, products: np.ndarray, pooled: float, rounded: float) -> Discriminant | None:
+def discriminant(n: np.ndarray, sums: np.ndarray, products: np.ndarray, pooled: float, rounded: float, rows: float) -> Discriminant | None:
     """From the classes' counts, sums and sums of products. None if there are no rows; a class without rows has the other's spread."""
     if not n.sum():
         return None
@@ -128,7 +129,8 @@ def discriminant(n: np.ndarray, sums: np.ndarray, products: np.ndarray, pooled:
     common = spread.sum(axis=0) / n.sum()
     inverse, logdet = [], []
     for c, s in zip(n, spread, strict=True):
-        own = (1 - pooled) * s / c + pooled * common if c > 1 else common
+        own = (s + rows * common) / (c + rows) if c else common
+        own = (1 - pooled) * own + pooled * common
         own = (1 - rounded) * own + rounded * max(np.trace(own) / width, 1e-6) * np.eye(width)
         factor = np.linalg.cholesky(own)
         inverse.append(np.linalg.inv(factor))
@@ -141,11 +143,11 @@ def held_out(doc_id="doc_id"):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % 3 == 1
 
 
-def fit(features: DataFrame, labels: DataFrame, pooled: float = POOLED, rounded: float = ROUND) -> Discriminant | None:
+def fit(features: DataFrame, labels: DataFrame, pooled: float = POOLED, rounded: float = ROUND, rows: float = ROWS) -> Discriminant | None:
     """Rows of features with a label 0 or 1 that are not held out; a row counts once for each of its labels."""
     width = len(FEATURES)
     known = labels.where("quality in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-    rows = features.where(~held_out()).join(known, "doc_id").select("quality", "features")
+    labelled = features.where(~held_out()).join(known, "doc_id").select("quality", "features")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, 1 + width + width * width))
@@ -160,11 +162,11 @@ def fit(features: DataFrame, labels: DataFrame, pooled: float = POOLED, rounded:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), pa.array(at), pa.array(total[k])], ["quality", "place", "value"])
 
     # One row for each class and cell, however many rows there are.
-    sums = rows.mapInArrow(add, "quality int, place int, value double").groupBy("quality", "place").agg(F.sum("value").alias("value")).collect()
+    sums = labelled.mapInArrow(add, "quality int, place int, value double").groupBy("quality", "place").agg(F.sum("value").alias("value")).collect()
     total = np.zeros((2, 1 + width + width * width))
     for r in sums:
         total[r["quality"], r["place"]] = r["value"]
-    return discriminant(total[:, 0], total[:, 1 : 1 + width], total[:, 1 + width :].reshape(2, width, width), pooled, rounded)
+    return discriminant(total[:, 0], total[:, 1 : 1 + width], total[:, 1 + width :].reshape(2, width, width), pooled, rounded, rows)
 
 
 def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
