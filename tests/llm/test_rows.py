@@ -26,19 +26,22 @@ def test_edits_of_documents(spark, sf_dir):
     docs = documents(spark, sf_dir).sort_values("doc_id", ascending=False, ignore_index=True)
     found = {r.doc_id: r for r in QUERIES["op4_fingerprints"](spark, sf_dir).collect()}
     assert len(found) == len(docs)
-    by_text = {}
+    by_text, compared = {}, 0
     for i, (doc, text) in enumerate(zip(docs.doc_id, docs.text, strict=True)):
         n, following = len(text) // 3, docs.text[(i + 1) % len(docs)]
         edited = text[: len(text) - n] + following[:n]
         r = found[doc]
         assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
         assert by_text.setdefault(text, r.fingerprint) == r.fingerprint
+        if len(text) + len(following) > 1500:  # the plain version takes its time
+            continue
+        compared += 1
         marks = [set(brute.winnowed(t, winnowing.K, winnowing.WINDOW)) for t in (text, edited, following)]
-        places = [p for p, _ in sorted({(int(x.split(":")[1]), x) for x in r.fingerprint.split(",") if x})]
-        assert places == [p for p, _ in sorted(marks[0])]
-        for near, other in ((r.near_edited, marks[1]), (r.near_next, marks[2])):
-            a, b = {g for _, g in marks[0]}, {g for _, g in other}
-            assert near == pytest.approx(len(a & b) / len(a | b))
+        assert [int(x.split(":")[1]) for x in r.fingerprint.split(",") if x] == [p for p, _ in sorted(marks[0])]
+        grams = [{g for _, g in m} for m in marks]
+        for near, other in ((r.near_edited, grams[1]), (r.near_next, grams[2])):
+            assert near == pytest.approx(len(grams[0] & other) / len(grams[0] | other))
+    assert compared > 5
 
 
 def test_ranges_of_few_documents(spark, monkeypatch):
