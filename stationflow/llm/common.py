@@ -14,6 +14,8 @@ from stationflow.session import fresh_path
 
 #: Bytes of one Arrow batch that a Python worker holds, unless the session names another bound.
 BATCH_BYTES = 4 << 20
+#: Text that is worked on at a time: arrays beside it take some hundred bytes for each of its characters.
+PIECE_BYTES = 1 << 20
 
 _BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 _UNBOUNDED = {None, "-1", str(2**31 - 1), f"{2**31 - 1}b"}
@@ -49,7 +51,7 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).cast("string").alias("text"))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches into runs of rows of about `most` bytes, one row at least."""
     for batch in batches:
         if not batch.num_rows:

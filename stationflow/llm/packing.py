@@ -30,7 +30,7 @@ WINDOW = 4096
 END_ID = 2
 SHARD_TOKENS = 1 << 24
 #: Chunks that a worker keeps, and the longest one it keeps.
-KEPT_CHUNKS, KEPT_CHARS = 1_200_000, 48
+KEPT_CHUNKS, KEPT_CHARS = 500_000, 48
 #: Marks that end words most often.
 MARKS = ".,!?;:"
 
