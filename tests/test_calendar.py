@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stationflow.functions import calendar as cal
 from stationflow.functions.cyclic import CYCLIC_COLUMNS, encode_cycles
 
-GRID = [(m, wd, d) for m in range(1, 13) for wd in range(7) for d in range(1, 32, 3)]
+GRID = [(m, wd, d) for m in range(1, 13) for wd in range(7) for d in range(1, 32)]
 
 
 def marked(spark, rule):

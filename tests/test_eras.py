@@ -10,12 +10,12 @@ from stationflow.sources.eras import ERA_1, ERA_2, TRIP_COLUMNS, scan_both_eras,
 from stationflow.sources.tables import read_table, write_table
 
 ERA_1_TEXT = """a,b,c,d,e,f,g,h,i,j,k,l,m,n,o
-219,2019-02-01 00:00:06.2570,2019-02-01 00:03:46.1090,3494.0,E 115 St & Lexington Ave,40.7979,-73.9423,3501.0,E 118 St & Madison Ave,40.8015,-73.9443,33450,Subscriber,1989,1
-300,2019-02-01 00:10:00,2019-02-01 00:15:00,SYS033,Depot,40.1,-73.1,3501.0,E 118 St & Madison Ave,40.8015,-73.9443,1,Customer,1990,2
-300,2019-02-01 00:20:00,2019-02-01 00:25:00,3494.0,E 115 St & Lexington Ave,40.7979,-73.9423,,,,,2,,1990,0
+615,2019-02-01 06:30:00.1234,2019-02-01 06:40:15.5678,3494.0,Harbour,40.25,-73.5,3501.0,Market,40.5,-73.25,77,Subscriber,1971,1
+300,2019-02-01 00:10:00,2019-02-01 00:15:00,SYS033,Depot,40.1,-73.1,3501.0,Market,40.5,-73.25,1,Customer,1990,2
+300,2019-02-01 00:20:00,2019-02-01 00:25:00,3494.0,Harbour,40.25,-73.5,,,,,2,,1990,0
 """
 ERA_2_TEXT = """ride_id,rideable_type,started_at,ended_at,ssn,ssi,esn,esi,a,b,c,d,member_casual
-26F472DB7812B0EF,classic_bike,2023-09-16 14:14:31.636,2023-09-16 14:24:10.687,E 68 St & Madison Ave,6932.1499,E 84 St & Park Ave,7243.04,40.7692,-73.9670,40.7786,-73.9577,casual
+X1,electric_bike,2023-09-16 14:00:00.500,2023-09-16 14:20:00.250,A,6932.1499,B,7243.04,40.7,-73.9,40.8,-73.8,casual
 X2,classic_bike,2023-09-16 15:00:00.000,2023-09-16 15:10:00.000,A,6932.15,B,7243.9,40.7,-73.9,40.8,-73.8,member
 X3,classic_bike,2023-09-16 16:00:00.000,2023-09-16 16:10:00.000,A,6932.15,B,7243.9,40.7,-73.9,40.8,-73.8,
 """

@@ -10,7 +10,7 @@ from stationflow.operators import stations, trips
 from tests.conftest import rows
 
 RAW = [
-    ("2021-01-19 19:43:36.986", "2021-01-19 19:50:00.100", "A", 40.1, -73.1, "B", 40.2, -73.2, 1, 2, 1, 0, "/x/202101-t.csv"),
+    ("2021-01-02 03:04:05.678", "2021-01-02 03:10:00.100", "A", 40.1, -73.1, "B", 40.2, -73.2, 1, 2, 1, 0, "/x/202101-t.csv"),
     ("2021-01-20 08:00:00.000", "2021-01-20 08:10:00.000", None, None, None, "B", 40.2, -73.2, None, 2, 0, 1, "/x/202101-t.csv"),
     ("1/1/2015 0:01", "1/1/2015 0:07", "A", 40.1, -73.1, "C", 40.3, -73.3, 1, 3, 1, 2, "/x/201501-t.csv"),
     ("1/1/2015 0:02", "1/1/2015 0:09", "A", 40.0, -73.0, "C", 40.3, -73.3, 1, 3, 1, 3, "/x/201501-t.csv"),
@@ -60,7 +60,7 @@ def test_every_month_has_exactly_one_format(spark):
 
 def test_parse_by_file(raw):
     got = {r.row_number: (r.start_time, r.end_time) for r in trips.parse_trip_times(raw).collect()}
-    assert got[0] == (datetime(2021, 1, 19, 19, 43, 36), datetime(2021, 1, 19, 19, 50))
+    assert got[0] == (datetime(2021, 1, 2, 3, 4, 5), datetime(2021, 1, 2, 3, 10))
     assert got[2] == (datetime(2015, 1, 1, 0, 1), datetime(2015, 1, 1, 0, 7))
     assert got[4] == (datetime(2014, 9, 1, 0, 0, 25), datetime(2014, 9, 1, 0, 5))
     assert len(got) == 6
