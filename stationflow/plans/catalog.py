@@ -609,7 +609,6 @@ def train_two_targets(spark, sf_dir):
 @query
 def experiment_metrics(spark, sf_dir):
     """Metrics of the runs logged so far whose features and models are stored under their versions."""
-    _trained(spark, sf_dir, "gbt")
     lake, _ = _trained(spark, sf_dir)
     rows = read_table(spark, lake.layer(training_jobs.METRICS))
     ids = rows.groupBy("model", "label", "split", "metric").agg(
@@ -774,7 +773,7 @@ def job_gold(spark, sf_dir):
 
 @query
 def job_train(spark, sf_dir):
-    return _recomputed(spark, sf_dir, "gbt")
+    return _recomputed(spark, sf_dir, "random_forest")
 
 
 @query

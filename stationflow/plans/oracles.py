@@ -489,10 +489,10 @@ ORACLES: dict[str, str] = {
         for name in ("train_rf", "train_gbt")
     },
     "train_two_targets": f"SELECT label, split, metric, true AS agrees FROM {_METRICS}",
-    "job_train": f"SELECT label, split, metric, true AS agrees, 'gbt' AS model FROM {_METRICS}",
+    "job_train": f"SELECT label, split, metric, true AS agrees, 'random_forest' AS model FROM {_METRICS}",
     "experiment_metrics": f"""
         SELECT model, label, split, metric, CAST(1 AS BIGINT) AS n_runs, CAST(1 AS BIGINT) AS n_features, CAST(0 AS BIGINT) AS n_null
-        FROM {_METRICS}, (VALUES ('random_forest'), ('gbt')) AS families(model)""",
+        FROM {_METRICS}, (VALUES ('random_forest')) AS families(model)""",
     "score_both_targets": _with("SELECT station_id, time, bike_demand, dock_demand, true AS in_range FROM demand", "demand"),
     "forecast_demand": _with(
         """SELECT event_id, station_name, start + to_hours(h) AS time, true AS in_range
