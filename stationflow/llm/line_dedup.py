@@ -1,14 +1,16 @@
 """Line dedup by winnowing over line hashes.
 
 A gram is the shortest run of lines with `gram_words` words from some line on, a window the shortest with
-`min_words`. Of the grams inside each window the one of least hash is a fingerprint (ties: the rightmost), so every
-repeated run of at least `min_words` words holds a fingerprint. Occurrences of a fingerprint are joined to its first
-one, in the order of doc_id and line, never to each other. From there a match grows both ways, line by line, and the
-later run goes if the match has `min_words` words. Every line that goes equals an earlier line that a run shares with it,
-so the first copy of a run stays whole.
+`min_words` from some line on, or up to some line. Of the grams inside each window the one of least hash is its
+fingerprint (ties: the rightmost). Occurrences of a fingerprint are joined to its first one in an equal window, in the
+order of doc_id and line, never to each other. From there a match grows both ways, line by line, and the later run goes
+if the match has `min_words` words. Every line that goes equals an earlier line that a run shares with it, so the first
+copy of a run stays whole.
 
-A gram of less than `min_words` may stand in several passages. So its occurrences meet by the gram and the line before
-it, and by the gram and the line after it: one of the two belongs to any run of `min_words` words around it.
+A gram of less than `min_words` may stand in several passages, so occurrences meet by the hash of the whole window: the
+first one then shares a full run. Every line of a repeated run of `min_words` words lies in a window inside the run, the
+last ones perhaps only in windows that end with them. So each line goes that an earlier run shares, whoever else holds a
+part of it.
 
 A line ends at a line feed or at the end of a sentence (a full stop, exclamation or question mark before a space), as
 a passage may begin or end inside a paragraph. Lines are compared byte for byte without that space or line feed; empty
@@ -40,7 +42,7 @@ IN_WORD[0x09:0x0E] = IN_WORD[0x20] = False
 BASE = 0x9E3779B97F4A7C15
 BACK = pow(BASE, -1, 1 << 64)
 
-LINES = "doc_id long, name long, hashes array<long>, words array<int>, numbers array<int>, marks array<struct<place:int,after:int,whole:boolean,gram:long>>"
+LINES = "doc_id long, name long, hashes array<long>, words array<int>, numbers array<int>, marks array<struct<place:int,key:long>>"
 RUNS = "doc_id long, name long, start int, end int"
 
 
@@ -51,8 +53,24 @@ def _reach(total: np.ndarray, first: np.ndarray, least: int) -> np.ndarray:
     return np.where(end <= last, end, -1)
 
 
+def _windows(total: np.ndarray, first: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """First line and line after the last of the shortest runs with `least` words from each line on, and up to each line."""
+    end = _reach(total, first, least)
+    from_line = np.flatnonzero(end > 0)
+    start = np.searchsorted(total, total[1:] - least, side="right") - 1
+    to_line = np.flatnonzero(start >= np.repeat(first[:-1], np.diff(first)))
+    pairs = np.concatenate([np.stack([from_line, end[from_line]]), np.stack([start[to_line], to_line + 1])], axis=1)
+    code = np.unique(pairs[0] * len(total) + pairs[1])
+    return code // len(total), code % len(total)
+
+
 def fingerprints(grams: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """Places of the least gram in each window of grams [start, stop), the rightmost of equal ones (as to 44 bits).
+    """Places that are the least gram of some window of grams [start, stop)."""
+    return np.unique(least_grams(grams, start, stop))
+
+
+def least_grams(grams: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Place of the least gram in each window of grams [start, stop), the rightmost of equal ones (as to 44 bits).
 
     Minima over runs of 1, 2, 4, ... grams; a window's least is that of the two runs which begin and end it.
     """
@@ -60,18 +78,18 @@ def fingerprints(grams: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.n
     place = np.arange(len(grams), dtype=np.uint64)
     least = (grams & ~np.uint64(low)) | (np.uint64(low) - (place & np.uint64(low)))
     level = np.frexp(stop - start)[1] - 1
-    chosen, width = [], 1
+    chosen, width = np.zeros(len(start), np.int64), 1
     for k in range(int(level.max(initial=-1)) + 1):
         at = np.flatnonzero(level == k)
         two = np.minimum(least[start[at]], least[stop[at] - width])
-        chosen.append(start[at] + ((np.uint64(low) - (two & np.uint64(low))).astype(np.int64) - start[at]) % (low + 1))
+        chosen[at] = start[at] + ((np.uint64(low) - (two & np.uint64(low))).astype(np.int64) - start[at]) % (low + 1)
         least = np.minimum(least, np.concatenate([least[width:], np.full(min(width, len(least)), ~np.uint64(0))]))
         width *= 2
-    return np.unique(np.concatenate(chosen)) if chosen else np.zeros(0, np.int64)
+    return chosen
 
 
 def line_table(batch: pa.RecordBatch, min_words: int, gram_words: int) -> pa.RecordBatch:
-    """Lines and fingerprints of each text."""
+    """Lines, fingerprints and their windows' hashes of each text."""
     data, offsets = utf8(batch.column("text"))
     gap = data == 0x0A
     gap[1:] |= (data[1:] == 0x20) & ENDS_SENTENCE[data[:-1]]
@@ -84,27 +102,26 @@ def line_table(batch: pa.RecordBatch, min_words: int, gram_words: int) -> pa.Rec
     number = feeds[lines.start] - feeds[offsets[lines.row]]
     n, first = batch.num_rows, lines.first
     total = np.append(0, np.cumsum(count))
-    gram_end, window_end = _reach(total, first, gram_words), _reach(total, first, min_words)
-    # A gram's hash: the difference of two prefix sums of hash * base ** place, shifted to place 0.
+    gram_end, (start, stop) = _reach(total, first, gram_words), _windows(total, first, min_words)
+    # A run's hash: the difference of two prefix sums of hash * base ** place, shifted to place 0.
     powers, shifts = (np.cumprod(np.full(len(lines.hash) + 1, b, np.uint64)) for b in (BASE, BACK))
     summed = np.append(np.uint64(0), np.cumsum(lines.hash * powers[:-1], dtype=np.uint64))
     begins = np.arange(len(lines.hash))
     ends = np.maximum(gram_end, begins)
-    grams = mix((summed[ends] - summed[:-1]) * shifts[:-1] + (ends - begins).astype(np.uint64))
+
+    def hashed(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((summed[end] - summed[begin]) * shifts[begin] + (end - begin).astype(np.uint64))
+
     # Ends of grams in steps of half a line, rising over all texts, with a text's unfinished grams behind its last line.
     rising = np.where(gram_end > 0, 2 * gram_end, 2 * np.repeat(first[1:], np.diff(first)) + 1)
-    full = np.flatnonzero(window_end > 0)
-    chosen = fingerprints(grams, full, np.searchsorted(rising, 2 * window_end[full], side="right"))
-    row = lines.row[chosen]
+    chosen = least_grams(hashed(begins, ends), start, np.searchsorted(rising, 2 * stop, side="right"))
+    row = lines.row[start]
     at = pa.array(first.astype(np.int32))
 
     def lists(x: np.ndarray) -> pa.Array:
         return pa.ListArray.from_arrays(at, pa.array(x))
 
-    marks = pa.StructArray.from_arrays(
-        [pa.array((chosen - first[row]).astype(np.int32)), pa.array((gram_end[chosen] - first[row]).astype(np.int32)), pa.array(total[gram_end[chosen]] - total[chosen] >= min_words), pa.array(grams[chosen].view(np.int64))],
-        ["place", "after", "whole", "gram"],
-    )
+    marks = pa.StructArray.from_arrays([pa.array((chosen - first[row]).astype(np.int32)), pa.array(hashed(start, stop).view(np.int64))], ["place", "key"])
     by_row = pa.array(np.searchsorted(row, np.arange(n + 1)).astype(np.int32))
     return pa.RecordBatch.from_arrays(
         [batch.column("doc_id"), batch.column("name"), lists(lines.hash.view(np.int64)), lists(count.astype(np.int32)), lists(number.astype(np.int32)), pa.ListArray.from_arrays(by_row, marks)],
@@ -148,11 +165,7 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int =
     texts = id_and_text(docs).where("doc_id is not null").withColumn("name", F.xxhash64("text"))
     lined = stored(texts.mapInArrow(lines, LINES), "lines")
     mark = F.col("mark")
-    near = lambda place: F.get("hashes", place)
-    keys = F.when(mark["whole"], F.array(mark["gram"])).otherwise(
-        F.array(F.xxhash64(mark["gram"], F.lit(1), near(mark["place"] - 1)), F.xxhash64(mark["gram"], F.lit(2), near(mark["after"])))
-    )
-    marks = lined.select("doc_id", "hashes", F.explode("marks").alias("mark")).select("doc_id", mark["place"].alias("place"), F.explode(keys).alias("key"))
+    marks = lined.select("doc_id", F.explode("marks").alias("mark")).select("doc_id", mark["place"].alias("place"), mark["key"].alias("key"))
     own = F.struct("doc_id", "place")
     firsts = stored(marks.groupBy("key").agg(F.min(own).alias("first"), F.max(own).alias("last")).where("first <> last").select("key", "first"), "firsts")
     pairs = stored(

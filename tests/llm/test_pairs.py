@@ -162,6 +162,41 @@ def test_line_dedup_of_odd_rows(odd_docs, no_docs):
     assert line_dedup.dedup_lines(no_docs).count() == 0
 
 
+def test_parts_of_a_run_in_earlier_documents_hide_no_run(spark):
+    line = lambda case, name, n: " ".join(f"{name}{case}x{i}" for i in range(n))
+    rows, whole, cases = {}, {}, 40
+    for case in range(cases):
+        p, g, n = line(case, "p", 16), line(case, "g", 20), line(case, "n", 16)
+        long, other, short = line(case, "l", 30), line(case, "o", 30), line(case, "s", 5)
+        held = ([p, g], [g, n], [p, g, n], [p, g, n], [long, other], [long, other, short], [long, other, short])
+        for k, part in enumerate(held):
+            own = line(case, f"own{k}", 50)
+            rows[k * cases + case] = "\n".join([own, *part, own[::-1]])
+            whole[k * cases + case] = k in (3, 6)
+    found = {r.doc_id: r for r in line_dedup.dedup_lines(as_docs(spark, rows)).collect()}
+    assert {i for i, last in whole.items() if last and found[i].n_removed != 3} == set()
+    assert {i for i in rows if i // cases < 3 and found[i].n_removed} == set()
+    assert {found[i].n_removed for i in rows if i // cases == 5} == {2}
+
+
+def test_excerpts_of_shared_text_against_every_run(spark):
+    draw = random.Random(5)
+    shared = [" ".join(f"w{i}x{j}" for j in range(draw.randint(1, 30))) for i in range(60)]
+    held, rows = {}, {}
+    for i in range(300):
+        at, n = draw.randrange(55), draw.randint(1, 8)
+        held[i] = [f"own{i}", *shared[at : at + n], f"end{i}"]
+        rows[i] = "\n".join(held[i])
+    seen, expected = set(), {}
+    for i, lines in held.items():
+        runs = [(a, b) for a in range(len(lines)) for b in range(a + 1, len(lines) + 1) if sum(len(x.split()) for x in lines[a:b]) >= line_dedup.MIN_WORDS]
+        gone = {k for a, b in runs if tuple(lines[a:b]) in seen for k in range(a, b)}
+        seen |= {tuple(lines[a:b]) for a, b in runs}
+        expected[i] = [x for k, x in enumerate(lines) if k not in gone]
+    found = {r.doc_id: r.text.split("\n") for r in line_dedup.dedup_lines(as_docs(spark, rows)).collect()}
+    assert found == expected
+
+
 def test_fingerprints_of_lines_hit_every_window():
     draw = np.random.default_rng(1)
     grams = draw.integers(0, 5, 50).astype(np.uint64)
