@@ -2,6 +2,7 @@
 
 import gzip
 import io
+import json
 
 import pyarrow as pa
 import pytest
@@ -104,6 +105,25 @@ def test_links_order_and_problems(spark):
     assert tool_links.link(calls.limit(0), results.limit(0), tool_links.TOOLS).count() == 0
 
 
+def test_whole_conversations_keep_every_row_and_character(spark):
+    said = [("system", "Be brief.\n" * 30), ("user", "opening " * 40)]
+    for n in range(90, 120):  # lengths of every tool and defect
+        said += [("assistant", f'"é\\ {n} '.ljust(n, "z")), ("user", f"answer {n} " * 20)]
+    rows = [(1, i - 1, role, text) for i, (role, text) in enumerate(said)] + [(None, 0, None, "no role"), (2, None, "assistant", "no turn"), (2, 0, "user", None)]
+    rows = [(c, 0 if role == "system" else t, role, text) for c, t, role, text in rows]
+    found = tool_links.linked_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), whole=True).collect()
+    assert len(found) == 30 + 5
+    assert sorted(json.loads(r.record)["content"] for r in found if r.status == "message") == sorted(t or "" for _, _, role, t in rows if t not in [x for _, x in said[2:]])
+    lost = {"missing query", "missing query, type of limit", "not a JSON object"}  # defects that leave no text
+    calls = {r.turn: r for r in found if r.status == "linked"}
+    for turn, (_, text) in enumerate(said, -1):
+        if turn > 0 and turn % 2:
+            record = json.loads(calls[turn].record)
+            assert record["result"] == said[turn + 2][1]
+            assert calls[turn].errors in lost or text in record["arguments"].values()
+    assert {r.errors for r in calls.values()} >= {"", "type of limit", "missing query", "unexpected mode", "not a JSON object"}
+
+
 def test_long_chains_have_their_depths(spark):
     calls = spark.range(300).selectExpr("1L AS conv_id", "'c' || id AS call_id", "IF(id > 0, 'c' || (id - 1), null) AS after")
     assert {r.call_id: r.depth for r in tool_links.depths(stored(calls, "chain")).collect()} == {f"c{i}": i for i in range(300)}
