@@ -53,17 +53,26 @@ def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(sets) if sets else every, np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
 
 
+def names(sets: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit name of each set, in two halves; 0 for an empty set."""
+    full = np.flatnonzero(np.diff(first))
+    at = first[:-1][full]
+    name_a, name_b = np.zeros(len(first) - 1, np.uint64), np.zeros(len(first) - 1, np.uint64)
+    if len(full):
+        name_a[full] = np.add.reduceat(mix(sets + np.uint64(1)), at)
+        name_b[full] = np.bitwise_xor.reduceat(mix(sets ^ np.uint64(0xC2B2AE3D27D4EB4F)), at)
+    return name_a, name_b
+
+
 def signatures(batch: pa.RecordBatch, k: int) -> pa.RecordBatch:
     sets, first = shingle_sets(batch.column("text"), k)
     sizes = np.diff(first)
     full = np.flatnonzero(sizes)
     at = first[:-1][full]
     n = batch.num_rows
-    name_a, name_b = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+    name_a, name_b = names(sets, first)
     low = np.zeros((SAMPLES, len(full)), np.uint64)
     if len(full):
-        name_a[full] = np.add.reduceat(mix(sets + np.uint64(1)), at)
-        name_b[full] = np.bitwise_xor.reduceat(mix(sets ^ np.uint64(0xC2B2AE3D27D4EB4F)), at)
         for j in range(SAMPLES):
             low[j] = np.minimum.reduceat((sets * _A[j] + _B[j]) >> np.uint64(24), at)
     bands = np.zeros((BANDS, len(full)), np.uint64)
@@ -183,15 +192,27 @@ def links(members: pd.DataFrame, k: int, percent: int) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
+def named_texts(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """rep, name_a, name_b, text: one text for each class, also where rows of one doc_id have several sets."""
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            sets, first = shingle_sets(batch.column("text"), k)
+            name_a, name_b = names(sets, first)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(name_a.view(np.int64)), pa.array(name_b.view(np.int64)), batch.column("text")], ["rep", "name_a", "name_b", "text"])
+
+    texts = id_and_text(docs).join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    return texts.mapInArrow(name, "rep long, name_a long, name_b long, text string").dropDuplicates(["rep", "name_a", "name_b"])
+
+
 def confirmed(docs: DataFrame, classes: DataFrame, near: DataFrame, k: int, percent: int, block_shingles: int) -> DataFrame:
     """Links (a, b) between classes, confirmed on full sets."""
     hoods = components(near)
-    sized = stored(hoods.join(classes.select("rep", "n_shingles", "sketch"), hoods.node == F.col("rep")).select("rep", F.col("component").alias("hood"), "n_shingles", "sketch"), "hoods")
+    sized = stored(hoods.join(classes.select("rep", "name_a", "name_b", "n_shingles", "sketch"), hoods.node == F.col("rep")).select("rep", "name_a", "name_b", F.col("component").alias("hood"), "n_shingles", "sketch"), "hoods")
     parts = stored(sized.groupBy("hood").agg(F.ceil(F.sum("n_shingles") / block_shingles).cast("int").alias("parts")), "parts")
     dealt = sized.join(parts, "hood").withColumn("block", F.pmod(F.xxhash64("rep"), "parts").cast("int"))
-    texts = id_and_text(docs).withColumnRenamed("doc_id", "rep").join(dealt.select("rep"), "rep", "left_semi").dropDuplicates(["rep"])
     meeting = (
-        dealt.join(texts, "rep")
+        dealt.join(named_texts(docs, dealt, k), ["rep", "name_a", "name_b"])
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select("hood", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "block", "rep", "sketch", "text")
     )
@@ -216,8 +237,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, block_shingl
     reps = stored(named.groupBy(*name).agg(F.min("doc_id").alias("rep")), "classes")
     classes = stored(
         named.join(reps, (named.doc_id == reps.rep) & (named.name_a == reps.name_a) & (named.name_b == reps.name_b), "left_semi")
-        .select(F.col("doc_id").alias("rep"), "n_shingles", "bands", "sketch")
-        .dropDuplicates(["rep", "n_shingles", "sketch"]),
+        .select(F.col("doc_id").alias("rep"), named.name_a, named.name_b, "n_shingles", "bands", "sketch")
+        .dropDuplicates(["rep", "name_a", "name_b"]),
         "representatives",
     )
     near = stored(candidates(classes), "candidates")

@@ -64,6 +64,18 @@ def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     assert near(odd_sketch.near_duplicates(no_docs)) == {}
 
 
+def test_each_text_of_a_repeated_id_brings_its_links(spark):
+    rows, near_id = [], {}
+    for case in range(30):
+        base = 10 * case
+        for k, other in enumerate((base + 1, base + 2, base + 3)):
+            text = " ".join(f"t{case}x{k}y{j}" for j in range(60 + 20 * k))
+            rows += [(base, text, None, None, None), (other, text + " more", None, None, None)]
+            near_id[other] = base
+    found = odd_sketch.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()
+    assert {r.doc_id: r.component_id for r in found if r.doc_id in near_id} == near_id
+
+
 def test_sketches_estimate_likeness(spark):
     words = [f"w{i}" for i in range(600)]
     rows = [(0, " ".join(words)), (1, " ".join(words[:570] + [f"x{i}" for i in range(30)]))]
