@@ -15,7 +15,7 @@ from stationflow.llm.queries import tokenizer_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or without one language for half of them, go."""
+    """Documents without letters, or of no known language, go; those of several languages stay."""
     return language_id.keep_identified(docs)
 
 

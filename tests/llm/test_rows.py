@@ -212,6 +212,18 @@ def test_mixed_text_has_spans(spark):
     assert spans[0][1]["start"] == len(german * 3)
 
 
+def test_documents_of_many_languages_stay(spark):
+    of = {
+        "de": "der hund und die katze sind im haus ", "el": "ο σκύλος και η γάτα είναι στο σπίτι ",
+        "fr": "le chien et la vache sont dans les champs ", "ru": "собака и кошка живут в большом доме ",
+    }
+    rows = [(t * (2 + i % 3), lang) for i in range(60) for lang, t in of.items()] + [("".join(of.values()), None), ("123 ...", None)]
+    docs = spark.createDataFrame([(n, *r, None, None) for n, r in enumerate(rows)], DOCS)
+    share = {r.doc_id: r.score for r in language_id.identify(docs, language_id.fit(docs)).collect()}
+    assert 0 < share[240] < 0.5
+    assert {r.doc_id for r in language_id.keep_identified(docs).collect()} == set(range(241))
+
+
 def test_languages_of_odd_rows(odd_docs, no_docs):
     found = language_id.identify(odd_docs, language_id.fit(odd_docs))
     assert found.count() == odd_docs.count()
