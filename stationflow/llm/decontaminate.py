@@ -166,8 +166,8 @@ def search(batch: pa.RecordBatch, tests: TestSet | None) -> pa.RecordBatch:
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row of docs: doc_id, n_words, word ranges that occur in test windows (hits), ids of the items with such
     windows, and the longest verbatim matches with their places. Null texts have no words, and a test row without id
-    marks words but is not listed. Rows with a null or repeated doc_id stay rows of their own, but for a test set of
-    several blocks, where rows of one doc_id become one."""
+    marks words but is not listed. Rows with a null or repeated doc_id stay rows of their own, also for a test set of
+    several blocks."""
     spark = docs.sparkSession
     bounded_batches(spark)
     tests = benchmark.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
@@ -175,27 +175,45 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 10, block
     blocks = max(1, math.ceil(size / block_bytes))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     parts = []
+    texts, columns = id_and_text(docs), HITS
+    if blocks > 1:  # rows meet again by id and text
+        texts, columns = texts.withColumn("name", F.sha2("text", 256)), f"{HITS}, name string"
     for k in range(blocks):
         rows = tests.where(block == k).collect()
         held = spark.sparkContext.broadcast(test_set([(r[0], r[1]) for r in rows], window))
 
         def shard(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             for batch in pieces(batches):
-                yield search(batch, held.value)
+                found = search(batch, held.value)
+                yield found.append_column("name", batch.column("name")) if "name" in batch.schema.names else found
 
-        parts.append(id_and_text(docs).mapInArrow(shard, HITS))
+        parts.append(texts.mapInArrow(shard, columns))
     if blocks == 1:
         return parts[0]
-    # Several blocks: the rows of a document meet by id; each block gives one row for each of its rows.
+    # Each block gives one row for each row; equal rows have equal hits, and there stay as many of them as there were.
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
-    return every.groupBy("doc_id").agg(
+    once = every.groupBy("doc_id", "name").agg(
         F.max("n_words").alias("n_words"),
-        F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.array_sort(F.flatten(F.collect_list("matches"))).alias("matches"),
+        joined_hits(F.array_sort(F.flatten(F.collect_set("hits")))).alias("hits"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("matches")))).alias("matches"),
+        (F.count("*") / blocks).cast("int").alias("copies"),
     )
+    return once.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("name", "copies", "copy")
+
+
+def joined_hits(hits: F.Column) -> F.Column:
+    """Sorted ranges with those that overlap or touch as one, as `_joined` has them."""
+    none = F.array().cast("array<struct<start:long,end:long>>")
+
+    def step(out: F.Column, x: F.Column) -> F.Column:
+        last = F.get(out, F.size(out) - 1)
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))
+        return F.when((F.size(out) > 0) & (x["start"] <= last["end"]), F.concat(F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0))), F.array(longer))).otherwise(F.concat(out, F.array(x)))
+
+    return F.aggregate(hits, none, step)
 
 
 def n_hit(hits) -> F.Column:

@@ -112,6 +112,17 @@ def test_hits_with_short_items_and_blocks(spark, block):
         assert (r.n_words, len(covered), len(r["items"]), decontaminate.digest(r["items"])) == expected[r.doc_id][:4]
 
 
+def test_rows_are_the_same_for_any_number_of_blocks(spark):
+    draw = random.Random(9)
+    text = lambda n: " ".join(draw.choice("ab cd ef gh".split()) for _ in range(n))
+    rows = [(i, text(30)) for i in (1, 1, 2, None, None, None)]
+    docs = spark.createDataFrame([(*r, None, None, None) for r in rows + rows[:1] * 2 + rows[3:4]], DOCS)
+    tests = spark.createDataFrame([(i, text(8)) for i in range(40)], "item_id long, text string")
+    one, many = (decontaminate.find_overlaps(docs, tests, window=4, block_bytes=size).collect() for size in (decontaminate.BLOCK_BYTES, 200))
+    assert len(one) == 9 and any(r.hits for r in one)
+    assert sorted(map(repr, one)) == sorted(map(repr, many))
+
+
 def test_longest_matches_have_their_places(spark):
     item = " ".join(f"t{i}" for i in range(30))
     docs = as_docs(spark, {1: "a b c " + " ".join(f"t{i}" for i in range(4, 25)) + " d", 2: "t0 t1 t2"})
