@@ -7,7 +7,8 @@ population count of the XOR of two bitmaps. Links are confirmed on the full sets
 1. One pass over the texts gives each row its set's size, 128-bit name, bands and sketch. Equal sets are one class.
 2. Classes that share a band are joined to that bucket's two centres, never to each other, and pairs whose sketches
    are far apart go. The components of what stays are neighbourhoods.
-3. A neighbourhood is dealt in blocks of bounded size, and every two blocks meet in a task of their own. There,
+3. A neighbourhood is dealt in blocks of bounded size, and every two blocks meet in a task of their own, which holds
+   sets of shingle hashes and no texts. There,
    sketches choose the pairs to look at, nearest first, and full sets confirm them. Pairs that are already
    connected are not looked at again, so a task returns fewer links than it has members.
 4. The components of the links name the groups.
@@ -158,12 +159,18 @@ class _Sets:
 
 
 def links(members: pd.DataFrame, k: int, percent: int) -> pd.DataFrame:
+    """`set_links` of members that come with their texts."""
+    sets, first = shingle_sets(pa.array(members["text"], pa.large_string()), k)
+    return set_links(members.assign(shingles=[sets[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]), percent)
+
+
+def set_links(members: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Links that connect the members as far as pairs of their likeness do; two blocks meet across only."""
     members = members.sort_values("rep", ignore_index=True)
     reps, block = members["rep"].to_numpy(), members["block"].to_numpy()
-    sets, first = shingle_sets(pa.array(members["text"], pa.large_string()), k)
-    _, dense = np.unique(sets, return_inverse=True)
-    sizes = np.diff(first)
+    sizes = members["shingles"].map(len).to_numpy()
+    first = np.append(0, np.cumsum(sizes))
+    _, dense = np.unique(np.concatenate(members["shingles"].to_list()), return_inverse=True)
     sketch = np.stack(members["sketch"].to_numpy()).astype(np.int64).view(np.uint64)
     across = len(np.unique(block)) > 1
     here = np.zeros(int(dense.max()) + 1 if len(dense) else 0, np.uint8)
@@ -192,17 +199,18 @@ def links(members: pd.DataFrame, k: int, percent: int) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def named_texts(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
-    """rep, name_a, name_b, text: one text for each class, also where rows of one doc_id have several sets."""
+def class_sets(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """rep, name_a, name_b, shingles: the set of each class, also where rows of one doc_id have several."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             sets, first = shingle_sets(batch.column("text"), k)
             name_a, name_b = names(sets, first)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(name_a.view(np.int64)), pa.array(name_b.view(np.int64)), batch.column("text")], ["rep", "name_a", "name_b", "text"])
+            shingles = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(sets.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(name_a.view(np.int64)), pa.array(name_b.view(np.int64)), shingles], ["rep", "name_a", "name_b", "shingles"])
 
     texts = id_and_text(docs).join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    return texts.mapInArrow(name, "rep long, name_a long, name_b long, text string").dropDuplicates(["rep", "name_a", "name_b"])
+    return texts.mapInArrow(name, "rep long, name_a long, name_b long, shingles array<long>").dropDuplicates(["rep", "name_a", "name_b"])
 
 
 def confirmed(docs: DataFrame, classes: DataFrame, near: DataFrame, k: int, percent: int, block_shingles: int) -> DataFrame:
@@ -212,13 +220,13 @@ def confirmed(docs: DataFrame, classes: DataFrame, near: DataFrame, k: int, perc
     parts = stored(sized.groupBy("hood").agg(F.ceil(F.sum("n_shingles") / block_shingles).cast("int").alias("parts")), "parts")
     dealt = sized.join(parts, "hood").withColumn("block", F.pmod(F.xxhash64("rep"), "parts").cast("int"))
     meeting = (
-        dealt.join(named_texts(docs, dealt, k), ["rep", "name_a", "name_b"])
+        dealt.join(class_sets(docs, dealt, k), ["rep", "name_a", "name_b"])
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("hood", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "block", "rep", "sketch", "text")
+        .select("hood", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "block", "rep", "sketch", "shingles")
     )
 
     def meet(members: pd.DataFrame) -> pd.DataFrame:
-        return links(members, k, percent)
+        return set_links(members, percent)
 
     return meeting.groupBy("hood", "first", "second").applyInPandas(meet, "a long, b long")
 

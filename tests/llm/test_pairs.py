@@ -76,6 +76,16 @@ def test_each_text_of_a_repeated_id_brings_its_links(spark):
     assert {r.doc_id: r.component_id for r in found if r.doc_id in near_id} == near_id
 
 
+def test_blocks_hold_sets_and_no_long_texts(spark):
+    texts = {i: "one two three four five six seven " * 20_000 + f"end{i}" for i in range(4)}
+    docs = as_docs(spark, texts)
+    found = odd_sketch.class_sets(docs, spark.range(4).withColumnRenamed("id", "rep"), 4).toPandas()
+    assert "text" not in found and found["shingles"].map(len).tolist() == [8] * 4
+    members = found.assign(block=0, sketch=[np.zeros(4, np.int64)] * 4)
+    assert len(odd_sketch.set_links(members, 70)) == len(odd_sketch.links(members.assign(text=members["rep"].map(texts)), 4, 70)) == 3
+    assert {v[1] for v in near(odd_sketch.near_duplicates(docs, 4, 70)).values()} == {0}
+
+
 def test_sketches_estimate_likeness(spark):
     words = [f"w{i}" for i in range(600)]
     rows = [(0, " ".join(words)), (1, " ".join(words[:570] + [f"x{i}" for i in range(30)]))]
