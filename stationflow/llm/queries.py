@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import decontaminate, language_id, line_dedup, odd_sketch, packing, pii, quality, tool_links, warc, winnowing
+from stationflow.llm import alignment, decontaminate, language_id, line_dedup, odd_sketch, packing, pii, quality, tool_links, warc, whitening, winnowing
 from stationflow.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -58,13 +58,21 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # stands beside the package and imports it
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_tool_call_linking, op3_minhash_near_dedup, op4_fingerprints, op5_packing, op6_warc, op7_pii, op8_benchmark_decontamination, op9_language_id, op10_quality_classifier, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_tool_call_linking, op3_minhash_near_dedup, op4_fingerprints, op5_packing, op6_warc, op7_pii, op8_benchmark_decontamination, op9_language_id, op10_quality_classifier, op12_cross_tokenizer_alignment, op13_embedding_whitening, pipeline)}
 
 ORACLES = {
     "op2_tool_call_linking": tool_links.ORACLE,
