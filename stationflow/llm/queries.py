@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import alignment, decontaminate, language_id, line_dedup, odd_sketch, packing, pii, quality, tool_links, warc, whitening, winnowing
+from stationflow.llm import alignment, decontaminate, language_id, line_dedup, odd_sketch, packing, pii, quality, suffix_dedup, tool_links, warc, whitening, winnowing
 from stationflow.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -58,6 +58,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_bytes(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -72,7 +76,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_tool_call_linking, op3_minhash_near_dedup, op4_fingerprints, op5_packing, op6_warc, op7_pii, op8_benchmark_decontamination, op9_language_id, op10_quality_classifier, op12_cross_tokenizer_alignment, op13_embedding_whitening, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_tool_call_linking, op3_minhash_near_dedup, op4_fingerprints, op5_packing, op6_warc, op7_pii, op8_benchmark_decontamination, op9_language_id, op10_quality_classifier, op11_suffix_dedup, op12_cross_tokenizer_alignment, op13_embedding_whitening, pipeline)}
 
 ORACLES = {
     "op2_tool_call_linking": tool_links.ORACLE,
