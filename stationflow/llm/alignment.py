@@ -8,9 +8,9 @@ The outermost cuts are known beforehand: neither tokenizer joins bytes across a
 that isn't white space. So a text falls into chunks there, and a worker keeps the alignment of chunks it has met, up to a
 bound. Chunks that are new to it are tokenized together and their intervals are split together, level by level.
 
-How many documents hold a pair of ids linked is counted in tasks first and then summed. The counts are a table of pairs of
-the two vocabularies, not of documents: while it has at most `TABLE_PAIRS` rows, every task gets it and adds up the counts of
-its links. Beyond that, the links' distinct pairs are joined with it.
+Each row's distinct pairs of linked ids are stored with the number of their links. How many documents hold a pair is counted in
+tasks first and then summed. The counts are a table of pairs of the two vocabularies, not of documents: while it has at most
+`TABLE_PAIRS` rows, every task gets it and adds up the counts of its links. Beyond that, the rows' pairs are joined with it.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,22 +29,29 @@ from pyspark.sql import functions as F
 
 from stationflow.llm.common import bounded_batches, id_and_text, pieces, stored
 
-#: Chunks that a worker keeps, and links of them all; a worker that has more begins anew with the next batch.
-KEPT_CHUNKS, KEPT_LINKS = 250_000, 4_000_000
+#: Chunks that a worker keeps, and links of them all; a worker that has more keeps those it has met again, half as many at most.
+KEPT_CHUNKS, KEPT_LINKS = 400_000, 6_000_000
 #: Pairs in a table that every task may hold: 17 bytes each.
 TABLE_PAIRS = 4_000_000
 #: Pairs that a task counts before it hands the counts on.
 COUNTED_PAIRS = 1 << 20
+#: New chunks that are tokenized as one text, and the longest of them; longer ones go alone.
+CHUNKS_AT_ONCE, CHUNK_CHARS = 64, 200
 
 #: Where a text falls into chunks: before a space or line feed behind a character that isn't white space.
 CUT = re.compile(r"(?<=\S)(?=[ \n])")
 BLANK_RUN = re.compile(r"\s[ \n]")
 
+#: Fixed value: where byte-level vocabularies split a text before they merge bytes.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: What stands before new chunks that are tokenized, so that neither tokenizer sees them at the begin of a text.
+CARRIER = " a"
+
 #: Fixed values of the second tokenizer: the mark for a space, and pieces that stand for one byte.
 SPACE_MARK = "▁"
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>\Z")
 
-DIGEST = "n_a long, n_b long, n_groups long, n_links long"
+DIGEST = ("n_a", "n_b", "n_groups", "n_links")
 
 
 def chunks_of(text: str) -> list[str]:
@@ -62,11 +70,12 @@ def byte_level() -> dict[str, int]:
 
 
 class Tokenizers:
-    """Ids of chunks by both tokenizers, and the bytes of every id."""
+    """Ids of texts by both tokenizers, and the bytes of every id."""
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(path_a)
@@ -78,21 +87,27 @@ class Tokenizers:
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.bytes_a[i] = token.encode() if i in special else bytes(bytes_of[c] for c in token)
+        ranks = {x: i for i, x in enumerate(self.bytes_a) if i not in special}
+        #: The same merges in a faster library. It looks for them anew after each, so long chunks don't go there.
+        self.fast = tiktoken.Encoding("first", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         pieces_b = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(m[1], 16)]) if (m := BYTE_PIECE.match(p)) else p.replace(SPACE_MARK, " ").encode() for p in pieces_b]
-        #: What the second tokenizer has before the ids of a chunk that begins with a line feed: its own space.
-        self.mark = self.b.encode("\n")[:-1]
         self.length_a, self.length_b = (np.array([len(x) for x in t]) for t in (self.bytes_a, self.bytes_b))
+        self.bits_b = len(self.bytes_b).bit_length()
         self.digits = max(len(str(len(self.bytes_a))), len(str(len(self.bytes_b))))
 
-    def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both sides. A chunk's first space is the one that the second tokenizer adds by itself; chunks that begin
-        otherwise come from inside a text, and its space is taken off again."""
-        a = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
-        spaced = [c[0] == " " for c in chunks]
-        b = self.b.encode([c[1:] if s else c for c, s in zip(chunks, spaced, strict=True)], num_threads=1)
-        n = len(self.mark)
-        return a, [x if s or x[:n] != self.mark else x[n:] for x, s in zip(b, spaced, strict=True)]
+    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
+        """Ids of both sides of texts that begin with a space, which the second tokenizer adds by itself; None where the two
+        don't both spell the text."""
+        most = CHUNKS_AT_ONCE * CHUNK_CHARS + len(CARRIER)
+        a = [self.fast.encode_ordinary(t) if len(t) <= most else self.a.encode(t, add_special_tokens=False).ids for t in texts]
+        b = self.b.encode([t[1:] for t in texts], num_threads=1)
+        out = []
+        for t, x, y in zip(texts, a, b, strict=True):
+            own = t.encode()
+            same = b"".join([self.bytes_a[i] for i in x]) == own and b"".join([self.bytes_b[i] for i in y]) == own
+            out.append((x, y) if same else None)
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -159,105 +174,144 @@ def written(ids_a: np.ndarray, ids_b: np.ndarray, groups: np.ndarray, digits: in
 
 
 class Aligner:
-    """Alignments of chunks; those met before are kept."""
+    """Alignments of chunks; those met before are kept in flat arrays."""
 
     def __init__(self, path_a: str, path_b: str):
         self.tok = tokenizers(path_a, path_b)
-        self.forget()
-
-    def forget(self) -> None:
-        #: chunk -> its place in the lists below; None if the two sides don't both spell it.
-        self.known: dict[str, int | None] = {}
-        self.links = 0
-        self.texts: list[bytes] = []
-        self.pairs: list[np.ndarray] = []
+        #: chunk -> its place in the arrays below; -1 if the two sides don't both spell it.
+        self.known: dict[str, int] = {}
+        self.names: list[str] = []
+        #: How often each chunk was met.
+        self.met = np.zeros(0, np.int64)
         #: n_a, n_b, n_groups, n_links of each chunk.
         self.sizes = np.zeros((0, 4), np.int64)
-        #: Best links and sum of counts of each chunk; filled by whoever has the counts.
-        self.sums = np.zeros((0, 2), np.int64)
+        #: Groups as text, and a pair (a << bits_b | b) for each link; where each chunk's begin (one more: the end).
+        self.text, self.text_at = np.zeros(0, np.uint8), np.zeros(1, np.int64)
+        self.pairs, self.pairs_at = np.zeros(0, np.int64), np.zeros(1, np.int64)
+
+    def forget(self) -> None:
+        """Keep the chunks met most often, of those met more than once."""
+        again = np.flatnonzero(self.met > 1)
+        kept = np.sort(again[np.argsort(-self.met[again], kind="stable")][: KEPT_CHUNKS // 2])
+        links = np.diff(self.pairs_at)[kept]
+        kept = kept[: int(np.searchsorted(np.cumsum(links), KEPT_LINKS // 2, side="right"))]
+        for name in ("text", "pairs"):
+            at = getattr(self, f"{name}_at")
+            size = np.diff(at)[kept]
+            setattr(self, name, getattr(self, name)[_ranges(at[kept], size)])
+            setattr(self, f"{name}_at", np.append(0, np.cumsum(size)))
+        self.sizes, self.met = self.sizes[kept], np.zeros(len(kept), np.int64)
+        self.names = [self.names[i] for i in kept.tolist()]
+        self.known = dict(zip(self.names, range(len(self.names)), strict=True))
 
     def learn(self, chunks: list[str]) -> None:
-        """Align chunks that aren't known yet. Pairs are a << 32 | b, one for each link."""
-        ids_a, ids_b = self.tok.encode(chunks)
-        spelled = [b"".join([self.tok.bytes_a[i] for i in x]) for x in ids_a]
-        same = []
-        for c, x, a, b in zip(chunks, spelled, ids_a, ids_b, strict=True):
-            if x and x == c.encode() and b"".join([self.tok.bytes_b[i] for i in b]) == x:
-                same.append((c, a, b))
-            else:
-                self.known[c] = None
-        if not same:
+        """Align chunks that aren't known yet."""
+        # A chunk that ends in white space ends its text, so none may follow it.
+        short = [c for c in chunks if len(c) <= CHUNK_CHARS and not c[-1].isspace()]
+        sets = [short[i : i + CHUNKS_AT_ONCE] for i in range(0, len(short), CHUNKS_AT_ONCE)]
+        sets += [[c] for c in set(chunks).difference(short)]
+        found = self.tok.encode([CARRIER + "".join(x) for x in sets])
+        odd = [[c] for x, ids in zip(sets, found, strict=True) if ids is None and len(x) > 1 for c in x]
+        sets, found = sets + odd, found + self.tok.encode([CARRIER + x[0] for x in odd])
+        self.known.update((x[0], -1) for x, ids in zip(sets, found, strict=True) if ids is None and len(x) == 1)
+        spelled = [(x, ids) for x, ids in zip(sets, found, strict=True) if ids is not None]
+        if not spelled:
             return
-        names, lists_a, lists_b = zip(*same, strict=True)
-        n_a, n_b = np.array([len(x) for x in lists_a]), np.array([len(x) for x in lists_b])
-        flat_a, flat_b = (np.fromiter((i for x in t for i in x), np.int64) for t in (lists_a, lists_b))
-        at_a, at_b = np.append(0, np.cumsum(n_a)), np.append(0, np.cumsum(n_b))
+        names = [c for x, _ in spelled for c in x]
+        flat_a, flat_b = (np.concatenate([np.array(ids[side], np.int64) for _, ids in spelled]) for side in (0, 1))
         ends_a, ends_b = np.cumsum(self.tok.length_a[flat_a]), np.cumsum(self.tok.length_b[flat_b])
-        groups = shared_cuts(ends_a, ends_b, np.stack([at_a[:-1], at_a[1:], at_b[:-1], at_b[1:]], axis=1))
-        first = np.searchsorted(groups[:, 0], at_a)  # groups of each chunk
+        size = np.array([len(c.encode()) for c in names])
+        carrier = np.zeros(len(names), np.int64)
+        carrier[np.cumsum([0, *(len(x) for x, _ in spelled[:-1])])] = len(CARRIER)
+        stop = np.cumsum(size + carrier)
+        start = stop - size
+        (a0, a1), (b0, b1) = [[np.searchsorted(ends, x, side="right") for x in (start, stop)] for ends in (ends_a, ends_b)]
+        if not all((ends[np.maximum(at, 1) - 1] == x).all() for ends, at, x in ((ends_a, a0, start), (ends_a, a1, stop), (ends_b, b0, start), (ends_b, b1, stop))):
+            raise ValueError("a tokenizer joins bytes across the begin of a chunk")
+        groups = shared_cuts(ends_a, ends_b, np.stack([a0, a1, b0, b1], axis=1))
+        first = np.append(np.searchsorted(groups[:, 0], a0), len(groups))  # groups of each chunk
         size_a, size_b = groups[:, 1] - groups[:, 0], groups[:, 3] - groups[:, 2]
         links = size_a * size_b
         row, k = np.repeat(np.arange(len(groups)), links), _ranges(np.zeros(len(groups), np.int64), links)
-        pairs = flat_a[groups[row, 0] + k // size_b[row]] << 32 | flat_b[groups[row, 2] + k % size_b[row]]
+        pairs = flat_a[groups[row, 0] + k // size_b[row]] << self.tok.bits_b | flat_b[groups[row, 2] + k % size_b[row]]
         linked = np.append(0, np.cumsum(links))[first]
         text, text_end = written(flat_a, flat_b, groups, self.tok.digits)
-        text, text_at = text.tobytes(), np.append(0, text_end)[first]
-        new = len(self.texts)
-        self.known.update(zip(names, range(new, new + len(names)), strict=True))
-        for i in range(len(names)):
-            self.texts.append(text[text_at[i] : text_at[i + 1]])
-            self.pairs.append(pairs[linked[i] : linked[i + 1]].copy())
-        self.sizes = np.concatenate([self.sizes, np.stack([n_a, n_b, np.diff(first), np.diff(linked)], axis=1)])
-        self.links += len(pairs)
-
-    def places(self, texts: list[str]) -> list[list[int] | None]:
-        """Places of each text's chunks in the lists; None for a text without tokens."""
+        self.known.update(zip(names, range(len(self.names), len(self.names) + len(names)), strict=True))
+        self.names += names
+        self.met = np.append(self.met, np.zeros(len(names), np.int64))
+        self.sizes = np.concatenate([self.sizes, np.stack([a1 - a0, b1 - b0, np.diff(first), np.diff(linked)], axis=1)])
+        self.text_at = np.concatenate([self.text_at, len(self.text) + np.append(0, text_end)[first][1:]])
+        self.pairs_at = np.concatenate([self.pairs_at, len(self.pairs) + linked[1:]])
+        self.text, self.pairs = np.concatenate([self.text, text]), np.concatenate([self.pairs, pairs])
+
+    def places(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the texts' chunks, one text after the other, and how many each has: none without tokens."""
         split = [chunks_of(" " + t) if t else [] for t in texts]
-        if len(self.known) > KEPT_CHUNKS or self.links > KEPT_LINKS:
+        if len(self.known) > KEPT_CHUNKS or len(self.pairs) > KEPT_LINKS:
             self.forget()
         new = list(set().union(*split).difference(self.known))
         if new:
             self.learn(new)
-        out: list[list[int] | None] = []
-        for chunks in split:
-            found = [self.known[c] for c in chunks]
-            out.append(None if not found or None in found else found)
-        return out
+        found = [list(map(self.known.__getitem__, chunks)) for chunks in split]
+        found = [[] if -1 in x else x for x in found]
+        place = np.fromiter(chain.from_iterable(found), np.int64)
+        self.met += np.bincount(place, minlength=len(self.met))
+        return place, np.array([len(x) for x in found], np.int64)
+
+    def rows(self, texts: list[str]) -> list[pa.Array]:
+        """n_a, n_b, n_groups, n_links, groups_sha256, distinct pairs and their links of each text."""
+        place, n = self.places(texts)
+        row = np.repeat(np.arange(len(n)), n)
+        sizes = np.zeros((len(n), 4), np.int64)
+        for k in range(4):
+            sizes[:, k] = np.bincount(row, self.sizes[place, k], len(n))
+        length = np.diff(self.text_at)[place]
+        data = self.text[_ranges(self.text_at[place], length)].tobytes()
+        end = np.cumsum(np.bincount(row, length, len(n)).astype(np.int64))
+        sums = [hashlib.sha256(data[a : b - 1]).hexdigest() if b > a else "" for a, b in zip([0, *end[:-1].tolist()], end.tolist(), strict=True)]
+        many = np.diff(self.pairs_at)[place]
+        bits = self.tok.bits_b + len(self.tok.bytes_a).bit_length()
+        code = np.sort((np.repeat(row, many) << bits) + self.pairs[_ranges(self.pairs_at[place], many)])
+        at = np.flatnonzero(np.append(True, code[1:] != code[:-1])[: len(code)])
+        bounds = pa.array(np.searchsorted(code[at] >> bits, np.arange(len(n) + 1)).astype(np.int32))
+        pairs = pa.array(code[at] & ((1 << bits) - 1))
+        times = pa.array(np.diff(np.append(at, len(code))))
+        return [*(pa.array(sizes[:, k]) for k in range(4)), pa.array(sums, pa.string()), pa.ListArray.from_arrays(bounds, pairs), pa.ListArray.from_arrays(bounds, times)]
 
 
 @lru_cache(maxsize=1)
-def aligner(path_a: str, path_b: str, use: str) -> Aligner:
-    """The worker's aligner; one for each use, as sums belong to one table of counts."""
+def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
-def _own_pairs(known: Aligner, found: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct pairs of a text, and how many links each has."""
-    places, times = np.unique(found, return_counts=True)
-    parts = [known.pairs[p] for p in places.tolist()]
-    weights = np.repeat(times, [len(p) for p in parts])
-    pairs, back = np.unique(np.concatenate(parts), return_inverse=True)
-    return pairs, np.bincount(back, weights, len(pairs)).astype(np.int64)
+def alignments(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """Per row of docs: doc_id, n_a, n_b, n_groups, n_links, groups_sha256, pairs (distinct) and times (links of each)."""
+    bounded_batches(docs.sparkSession)
 
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            cells = aligner(path_a, path_b).rows(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *cells], ["doc_id", *DIGEST, "groups_sha256", "pairs", "times"])
 
-def count_pairs(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """pair (a << 32 | b), n: how many rows of docs hold it linked."""
-    bounded_batches(docs.sparkSession)
+    kinds = ", ".join(f"{c} long" for c in DIGEST)
+    return id_and_text(docs).mapInArrow(digest, f"doc_id long, {kinds}, groups_sha256 string, pairs array<long>, times array<long>")
+
+
+def count_pairs(aligned: DataFrame) -> DataFrame:
+    """pair, n: how many rows hold it linked."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held, size = aligner(path_a, path_b, "count"), [], 0
-        for batch in pieces(batches):
-            for found in known.places(batch.column("text").to_pylist()):
-                if found is not None:
-                    held.append(np.unique(np.concatenate([known.pairs[p] for p in set(found)])))
-                    size += len(held[-1])
-                    if size >= COUNTED_PAIRS:
-                        yield _counted(held)
-                        held, size = [], 0
-        if held:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch.column("pairs").flatten().to_numpy())
+            size += len(held[-1])
+            if size >= COUNTED_PAIRS:
+                yield _counted(held)
+                held, size = [], 0
+        if size:
             yield _counted(held)
 
-    return id_and_text(docs).select("text").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return aligned.select("pairs").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def _counted(held: list[np.ndarray]) -> pa.RecordBatch:
@@ -265,9 +319,9 @@ def _counted(held: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], ["pair", "n"])
 
 
-def with_best(counted: DataFrame) -> DataFrame:
+def with_best(counted: DataFrame, bits_b: int) -> DataFrame:
     """Counts with best: whether no pair of the same A id has a higher one. An id of A has at most a vocabulary of pairs."""
-    same_a = Window.partitionBy(F.shiftright("pair", 32))
+    same_a = Window.partitionBy(F.shiftright("pair", bits_b))
     return counted.select("pair", "n", (F.col("n") == F.max("n").over(same_a)).alias("best"))
 
 
@@ -277,57 +331,38 @@ def align(docs: DataFrame, path_a: str, path_b: str, table_pairs: int = TABLE_PA
     A text that is null, empty or not spelled by both tokenizers has zeros and ''. Rows that repeat a doc_id, or have none, are
     documents of their own, also in the counts.
     """
-    spark = docs.sparkSession
-    counts = stored(with_best(count_pairs(docs, path_a, path_b)), "pair_counts")
-    small = counts.count() <= table_pairs
-    held = None
-    if small:  # at most 17 bytes for each of table_pairs rows
-        rows = counts.orderBy("pair").toPandas()
-        held = spark.sparkContext.broadcast((rows["pair"].to_numpy(np.int64), rows["n"].to_numpy(np.int64), rows["best"].to_numpy(bool)))
-        del rows
-    run = os.urandom(8).hex()
-    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
-    more = ["n_best", "count_sum"] if small else ["pairs", "times"]
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = aligner(path_a, path_b, run)
-        for batch in pieces(batches):
-            every, rows = known.places(batch.column("text").to_pylist()), []
-            if held is not None:
-                _add_sums(known, *held.value)
-            for found in every:
-                if found is None:
-                    rows.append((0, 0, 0, 0, "", *((0, 0) if held is not None else ([], []))))
-                    continue
-                text = b"".join([known.texts[p] for p in found])
-                last = known.sums[found].sum(axis=0).tolist() if held is not None else [x.tolist() for x in _own_pairs(known, found)]
-                rows.append((*known.sizes[found].sum(axis=0).tolist(), hashlib.sha256(memoryview(text)[:-1]).hexdigest(), *last))
-            kinds = [pa.int64()] * 4 + [pa.string()] + ([pa.int64()] * 2 if held is not None else [pa.list_(pa.int64())] * 2)
-            cells = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *cells], names + more)
-
-    schema = f"doc_id long, {DIGEST}, groups_sha256 string, " + ("n_best long, count_sum long" if small else "pairs array<long>, times array<long>")
-    made = id_and_text(docs).mapInArrow(digest, schema)
-    if not small:
-        made = _joined(stored(made, "alignments"), counts)
-    return made.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
-
-
-def _add_sums(known: Aligner, pairs: np.ndarray, counts: np.ndarray, best: np.ndarray) -> None:
-    """Sums of the chunks that have none yet."""
-    new = known.pairs[len(known.sums) :]
-    if new:
-        at = np.searchsorted(pairs, np.concatenate(new))
-        first = np.append(0, np.cumsum([len(p) for p in new]))[:-1]
-        sums = [np.add.reduceat(x[at].astype(np.int64), first) for x in (best, counts)]
-        known.sums = np.concatenate([known.sums, np.stack(sums, axis=1)])
-
-
-def _joined(made: DataFrame, counts: DataFrame) -> DataFrame:
-    """Sums over links by a join with the counts, for tables too large for a task. Each row's pairs are distinct, so a task
-    adds up what it has of a row before the sums meet."""
-    made = made.withColumn("row", F.monotonically_increasing_id())
-    made = stored(made, "alignment_rows")
+    aligned = stored(alignments(docs, path_a, path_b), "alignments")
+    counts = stored(with_best(count_pairs(aligned), tokenizers(path_a, path_b).bits_b), "pair_counts")
+    made = _summed(aligned, counts) if counts.count() <= table_pairs else _joined(aligned, counts)
+    return made.select("doc_id", *DIGEST, "n_best", "count_sum", "groups_sha256")
+
+
+def _summed(aligned: DataFrame, counts: DataFrame) -> DataFrame:
+    """Sums over links with the table of counts in every task: 17 bytes for each of at most TABLE_PAIRS rows."""
+    rows = counts.orderBy("pair").toPandas()
+    held = aligned.sparkSession.sparkContext.broadcast((rows["pair"].to_numpy(np.int64), rows["n"].to_numpy(np.int64), rows["best"].to_numpy(bool)))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, n, best = held.value
+        for batch in batches:
+            size = batch.column("pairs").value_lengths().to_numpy()
+            row = np.repeat(np.arange(len(size)), size)
+            at = np.searchsorted(known, batch.column("pairs").flatten().to_numpy())
+            times = batch.column("times").flatten().to_numpy()
+            sums = [np.zeros(len(size), np.int64) for _ in range(2)]
+            for total, weight in zip(sums, (best, n), strict=True):
+                np.add.at(total, row, times * weight[at])
+            columns = [batch.column(c) for c in ("doc_id", *DIGEST, "groups_sha256")]
+            yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, sums)], ["doc_id", *DIGEST, "groups_sha256", "n_best", "count_sum"])
+
+    kinds = ", ".join(f"{c} long" for c in DIGEST)
+    return aligned.mapInArrow(add, f"doc_id long, {kinds}, groups_sha256 string, n_best long, count_sum long")
+
+
+def _joined(aligned: DataFrame, counts: DataFrame) -> DataFrame:
+    """Sums over links by a join, for tables too large for a task. A row's pairs are distinct, and a task adds up what it has of
+    a row before the sums meet."""
+    made = stored(aligned.withColumn("row", F.monotonically_increasing_id()), "alignment_rows")
     links = made.select("row", F.explode(F.arrays_zip("pairs", "times")).alias("link")).select("row", F.col("link.pairs").alias("pair"), F.col("link.times").alias("times"))
     sums = links.join(counts, "pair").groupBy("row").agg(F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("n")).alias("count_sum"))
     zero = F.lit(0).cast("long")

@@ -38,12 +38,15 @@ ENDS_SENTENCE[list(b".!?")] = True
 IN_WORD = np.ones(256, bool)
 IN_WORD[0x09:0x0E] = IN_WORD[0x20] = False
 
+#: Runs of a document from which on a task merges what it has found.
+MERGE_AT = 10_000
+
 #: Base of the grams' rolling hash, and its inverse modulo 2 ** 64.
 BASE = 0x9E3779B97F4A7C15
 BACK = pow(BASE, -1, 1 << 64)
 
 LINES = "doc_id long, name long, hashes array<long>, words array<int>, numbers array<int>, marks array<struct<place:int,key:long>>"
-RUNS = "doc_id long, name long, start int, end int"
+RUNS = "doc_id long, name long, runs array<struct<start:int,end:int>>"
 
 
 def _reach(total: np.ndarray, first: np.ndarray, least: int) -> np.ndarray:
@@ -151,7 +154,8 @@ def _cells(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS) -> DataFrame:
-    """Later copies of repeated runs: doc_id, name (of the text), line numbers start and end (exclusive).
+    """Later copies of repeated runs: doc_id, name (of the text), runs (line numbers start and end, exclusive, merged where
+    they overlap or touch). A text may have several rows.
 
     Rows without text or doc_id have none. Rows that repeat both id and text are one document; of rows that share an id
     only, a run counts as later where it stands further behind.
@@ -176,25 +180,51 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int =
         .agg(F.flatten(F.collect_set(F.array("place", "there"))).alias("anchors")),
         "pairs",
     )
+    # The documents come last, sorted, so a task meets all pairs of a document one after the other.
     sources = lined.select(F.col("doc_id").alias("first_id"), F.col("hashes").alias("there"))
-    met = pairs.join(lined.select("doc_id", "name", "hashes", "words", "numbers"), "doc_id").join(sources, "first_id")
+    met = pairs.join(sources, "first_id").join(lined.select("doc_id", "name", "hashes", "words", "numbers").hint("merge"), "doc_id")
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text, found = None, []
         for batch in batches:
             (hashes, a), (words, b), (numbers, c), (there, d), (anchors, e) = (_cells(batch, x) for x in ("hashes", "words", "numbers", "there", "anchors"))
-            row, start, end = [], [], []
-            for i in range(batch.num_rows):
+            done = []
+            for i, own in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("name").to_pylist(), strict=True)):
+                if own != text:
+                    if found:
+                        done.append((*text, merged(found)))
+                    text, found = own, []
                 pairs_of = anchors[e[i] : e[i + 1]].reshape(-1, 2)
                 for x, y in grown(hashes[a[i] : a[i + 1]], there[d[i] : d[i + 1]], words[b[i] : b[i + 1]], pairs_of, min_words):
-                    row.append(i)
-                    start.append(numbers[c[i] + x])
-                    end.append(numbers[c[i] + y - 1] + 1)
-            take = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("name").take(take), pa.array(start, pa.int32()), pa.array(end, pa.int32())], ["doc_id", "name", "start", "end"])
+                    found.append((int(numbers[c[i] + x]), int(numbers[c[i] + y - 1]) + 1))
+                if len(found) > MERGE_AT:
+                    found = merged(found)
+            if done:
+                yield _run_rows(done)
+        if found:
+            yield _run_rows([(*text, merged(found))])
 
     return met.select("doc_id", "name", "hashes", "words", "numbers", "there", "anchors").mapInArrow(grow, RUNS)
 
 
+def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted runs, those that overlap or touch as one."""
+    out: list[list[int]] = []
+    for start, end in sorted(runs):
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([start, end])
+    return [(a, b) for a, b in out]
+
+
+def _run_rows(rows: list[tuple[int, int, list[tuple[int, int]]]]) -> pa.RecordBatch:
+    ids, names, runs = zip(*rows, strict=True)
+    pair = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+    cells = [[{"start": a, "end": b} for a, b in r] for r in runs]
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(names, pa.int64()), pa.array(cells, pa.list_(pair))], ["doc_id", "name", "runs"])
+
+
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS, prefix: str = "") -> DataFrame:
     """docs with the later copies of repeated runs cut out of text, and n_removed, the number of lines cut.
 
@@ -204,7 +234,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = G
     runs = repeated_runs(docs, min_words, gram_words)
     docs = docs.drop(f"{prefix}n_removed")
     own = unused_prefix(docs)
-    spans = F.array_sort(F.collect_set(F.struct("start", "end")))
+    spans = F.array_sort(F.array_distinct(F.flatten(F.collect_list("runs"))))
     cut = stored(runs.groupBy(F.col("doc_id").alias(f"{own}id"), F.col("name").alias(f"{own}name")).agg(spans.alias(f"{own}runs")), "runs")
     same = (F.col("doc_id") == F.col(f"{own}id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(f"{own}name"))
     # The runs grow with the documents, so the plan is that of a large table at every size.
