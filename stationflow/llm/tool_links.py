@@ -119,21 +119,19 @@ TOOLS = [
 ]
 
 
-def messages(conversations: DataFrame, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+def messages(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results made of plain conversations: an assistant's turn is a call, what a user says next its result.
 
     The tool and its arguments follow from the turn's text, with defects of every kind in fixed shares; each call comes
-    after the assistant's turn before it. A null text is empty. Arguments hold the first 20 to 60 characters of the text,
-    as the SQL below has them, and with `whole` all of it.
+    after the assistant's turn before it. Arguments hold the whole text; a null text is empty.
     """
-    part = lambda n: text if whole else F.left(text, F.lit(n))
     text, n = F.coalesce("text", F.lit("")), F.length(F.coalesce("text", F.lit("")))
     identifier = lambda back: F.concat(F.lit("call-"), F.coalesce(F.col("conv_id").cast("string"), F.lit("")), F.lit("-"), (F.col("turn") - back).cast("string"))
-    limit = F.struct((n % 50).alias("limit"), F.when(n % 7 != 0, part(40)).alias("query"))
-    worded = F.struct((n % 50).cast("string").alias("limit"), F.when(n % 7 != 0, part(40)).alias("query"))
+    limit = F.struct((n % 50).alias("limit"), F.when(n % 7 != 0, text).alias("query"))
+    worded = F.struct((n % 50).cast("string").alias("limit"), F.when(n % 7 != 0, text).alias("query"))
     lookup = F.when(n % 11 == 0, F.to_json(worded)).otherwise(F.to_json(limit))
-    count = F.to_json(F.struct(F.when(n % 5 == 0, F.lit("fast")).alias("mode"), part(20).alias("what"), (n % 2 == 0).alias("words")))
-    rewrite = F.to_json(F.struct(F.struct((n % 5).alias("level")).alias("style"), part(60).alias("text")))
+    count = F.to_json(F.struct(F.when(n % 5 == 0, F.lit("fast")).alias("mode"), text.alias("what"), (n % 2 == 0).alias("words")))
+    rewrite = F.to_json(F.struct(F.struct((n % 5).alias("level")).alias("style"), text.alias("text")))
     broken = F.when(n % 13 == 0, F.left(rewrite, F.length(rewrite) - 1)).otherwise(rewrite)
     name = F.when(n % 3 == 0, "lookup").when(n % 3 == 1, "count").otherwise("rewrite")
     calls = conversations.where("role = 'assistant'").select(
@@ -156,11 +154,10 @@ def plain_messages(conversations: DataFrame) -> DataFrame:
     )
 
 
-def linked_conversations(conversations: DataFrame, whole: bool = False) -> DataFrame:
-    """Calls and results of conversations; with `whole`, arguments hold whole texts and all other rows come as messages."""
-    calls, results = messages(conversations, whole)
-    linked = link(calls, results, TOOLS)
-    return linked.unionByName(plain_messages(conversations)) if whole else linked
+def linked_conversations(conversations: DataFrame) -> DataFrame:
+    """Calls and results of conversations, linked, and all other rows as messages."""
+    calls, results = messages(conversations)
+    return link(calls, results, TOOLS).unionByName(plain_messages(conversations))
 
 
 ORACLE = """
@@ -171,10 +168,10 @@ WITH RECURSIVE m AS (
         CASE n % 3 WHEN 0 THEN 'lookup' WHEN 1 THEN 'count' ELSE 'rewrite' END AS name,
         CASE n % 3
             WHEN 0 THEN '{"limit":' || CASE WHEN n % 11 = 0 THEN '"' || (n % 50) || '"' ELSE '' || (n % 50) END
-                || CASE WHEN n % 7 <> 0 THEN ',"query":' || to_json(left(text, 40)) ELSE '' END || '}'
-            WHEN 1 THEN '{' || CASE WHEN n % 5 = 0 THEN '"mode":"fast",' ELSE '' END || '"what":' || to_json(left(text, 20))
+                || CASE WHEN n % 7 <> 0 THEN ',"query":' || to_json(text) ELSE '' END || '}'
+            WHEN 1 THEN '{' || CASE WHEN n % 5 = 0 THEN '"mode":"fast",' ELSE '' END || '"what":' || to_json(text)
                 || ',"words":' || CASE WHEN n % 2 = 0 THEN 'true' ELSE 'false' END || '}'
-            ELSE CASE WHEN n % 13 <> 0 THEN '{"style":{"level":' || (n % 5) || '},"text":' || to_json(left(text, 60)) || '}' END
+            ELSE CASE WHEN n % 13 <> 0 THEN '{"style":{"level":' || (n % 5) || '},"text":' || to_json(text) || '}' END
         END AS arguments,
         CASE n % 3
             WHEN 0 THEN concat_ws(', ', CASE WHEN n % 7 = 0 THEN 'missing query' END, CASE WHEN n % 11 = 0 THEN 'type of limit' END)
@@ -207,4 +204,8 @@ SELECT conv_id, call_id, turn, name, CAST(depth AS BIGINT) AS depth, CAST(called
     || CASE WHEN answered THEN ',"result":' || to_json(text) ELSE '' END
     || ',"status":"' || status || '","turn":' || turn || '}' AS record
 FROM named
+UNION ALL
+SELECT conv_id, NULL, turn, NULL, NULL, 0, 0, 'message', '',
+    '{"content":' || to_json(text) || ',"conv_id":' || conv_id || ',"role":' || to_json(role) || ',"status":"message","turn":' || turn || '}'
+FROM m WHERE NOT (role = 'assistant' OR (role = 'user' AND turn > 0))
 """

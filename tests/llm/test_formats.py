@@ -111,7 +111,7 @@ def test_whole_conversations_keep_every_row_and_character(spark):
         said += [("assistant", f'"é\\ {n} '.ljust(n, "z")), ("user", f"answer {n} " * 20)]
     rows = [(1, i - 1, role, text) for i, (role, text) in enumerate(said)] + [(None, 0, None, "no role"), (2, None, "assistant", "no turn"), (2, 0, "user", None)]
     rows = [(c, 0 if role == "system" else t, role, text) for c, t, role, text in rows]
-    found = tool_links.linked_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), whole=True).collect()
+    found = tool_links.linked_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
     assert len(found) == 30 + 5
     assert sorted(json.loads(r.record)["content"] for r in found if r.status == "message") == sorted(t or "" for _, _, role, t in rows if t not in [x for _, x in said[2:]])
     lost = {"missing query", "missing query, type of limit", "not a JSON object"}  # defects that leave no text
