@@ -198,6 +198,10 @@ def _marked(rule: str) -> str:
 _STATS = ", ".join(
     f"avg({expr}) AS mean_{i}, stddev_samp({expr}) AS std_{i}" for i, expr in enumerate(NUMERIC.values())
 )
+# The same next to every row, so that rows and statistics come from one scan without a join.
+_STATS_OF_ALL = ", ".join(
+    f"avg({expr}) OVER () AS mean_{i}, stddev_samp({expr}) OVER () AS std_{i}" for i, expr in enumerate(NUMERIC.values())
+)
 _SCALED = [_cleared(f"({expr} - mean_{i}) / std_{i}") for i, expr in enumerate(NUMERIC.values())]
 _KEYED_SPLIT = """(CASE WHEN CAST('0x' || substr(md5(station_id || '|' || strftime(time, '%Y-%m-%d %H')), 1, 8) AS BIGINT)
                              / 4294967296::DOUBLE < 0.9::DOUBLE THEN 'train'
@@ -215,6 +219,8 @@ def _slots(*exprs: str) -> str:
 
 def _feature_sql(kept: str, holiday: str, source: str, *ctes: str) -> str:
     slots = _slots(*_SCALED, *_MONTHS, *_WEEKDAYS, f"CAST({holiday} AS DOUBLE)")
+    if source == "keyed_silver":
+        return _with(f"SELECT {kept}, {slots} FROM (SELECT *, {_STATS_OF_ALL} FROM keyed_silver)", "keyed_silver", *ctes)
     return _with(
         f"SELECT {kept}, {slots} FROM {source}, (SELECT {_STATS} FROM keyed_silver)", "keyed_silver", *ctes
     )
@@ -403,7 +409,7 @@ ORACLES: dict[str, str] = {
         "calendar",
     ),
     "scaled_features": _with(
-        f"SELECT station_id, time, {_slots(*_SCALED)} FROM keyed_silver, (SELECT {_STATS} FROM keyed_silver)",
+        f"SELECT station_id, time, {_slots(*_SCALED)} FROM (SELECT *, {_STATS_OF_ALL} FROM keyed_silver)",
         "keyed_silver",
     ),
     "onehot_month": _with(
