@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from stationflow.llm.common import bounded_batches, id_and_text, pieces, stored
 
 #: Chunks that a worker keeps, and links of them all; a worker that has more keeps those it has met again, half as many at most.
-KEPT_CHUNKS, KEPT_LINKS = 400_000, 6_000_000
+KEPT_CHUNKS, KEPT_LINKS = 200_000, 3_000_000
 #: Pairs in a table that every task may hold: 17 bytes each.
 TABLE_PAIRS = 4_000_000
 #: Pairs that a task counts before it hands the counts on.
