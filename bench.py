@@ -24,7 +24,7 @@ from stationflow.plans.forecasting import forecast
 from stationflow.plans.training import train_both
 from stationflow.session import build_session, fresh_path
 from stationflow.sources import testbed
-from stationflow.sources.tables import read_table, write_table
+from stationflow.sources.tables import read_layer, write_layer
 
 RUNS = 2
 COMPARED = ("parse_trip_times_three_scans", "hourly_demand_outer_join")
@@ -70,11 +70,11 @@ def main() -> None:
     lake = medallion.LakePaths(fresh_path(spark, "bench"))
 
     def layer(name: str) -> DataFrame:
-        return read_table(spark, lake.layer(name))
+        return read_layer(spark, lake.layer(name))
 
-    write_table(testbed.raw(spark, sf_dir), lake.layer("raw"))
-    write_table(testbed.bronze(spark, sf_dir), lake.layer("typed"))
-    write_table(testbed.requests(spark, sf_dir), lake.layer("requests"))
+    write_layer(testbed.raw(spark, sf_dir), lake.layer("raw"))
+    write_layer(testbed.bronze(spark, sf_dir), lake.layer("typed"))
+    write_layer(testbed.requests(spark, sf_dir), lake.layer("requests"))
     medallion.refine_to_bronze(spark, lake)
     raw, typed, stations, requests = layer("raw"), layer("typed"), layer("station"), layer("requests")
 

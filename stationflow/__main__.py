@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.operators.forecast import TIME_TEXT
@@ -11,7 +12,7 @@ from stationflow.operators.training import DEFAULT_SETTINGS, FAMILIES, TreeSetti
 from stationflow.operators.trips import unmatched_files, with_file_name
 from stationflow.plans import forecasting, medallion, training
 from stationflow.session import build_session
-from stationflow.sources.tables import DEFAULT_FORMAT, read_table, write_table
+from stationflow.sources.tables import DEFAULT_FORMAT, read_layer, read_table, write_layer
 
 JOBS = ("ingest", "bronze", "silver", "gold", "train", "forecast")
 
@@ -41,16 +42,17 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
-def main(argv: list[str] | None = None) -> None:
+def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
+    """Run the job that the arguments name, in this session if one is given."""
     args = parse_args(argv)
-    spark = build_session(f"stationflow-{args.job}", shuffle_gb=args.shuffle_gb)
+    spark = spark or build_session(f"stationflow-{args.job}", shuffle_gb=args.shuffle_gb)
     lake = medallion.LakePaths(args.root.rstrip("/"), args.format)
     keys = ("station_id", "time") if args.keep_keys else ()
     if args.job == "ingest":
         medallion.ingest(spark, lake, args.recursive)
     elif args.job == "bronze":
         medallion.refine_to_bronze(spark, lake, args.preserve_time, args.representative)
-        raw = read_table(spark, lake.layer("raw"), lake.fmt)
+        raw = read_layer(spark, lake.layer("raw"), lake.fmt)
         dropped = unmatched_files(with_file_name(raw)).agg(F.count("*").alias("files"), F.sum("dropped_rows").alias("trips")).first()
         print(f"of no known time format: {dropped.files} files, {dropped.trips or 0} trips")
     elif args.job == "silver":
@@ -67,7 +69,7 @@ def main(argv: list[str] | None = None) -> None:
         requests = read_table(spark, args.requests, lake.fmt) if args.requests else None
         start = F.to_timestamp(F.lit(args.start), TIME_TEXT) if args.start else None
         result = forecasting.forecast(spark, lake, requests, args.family, args.holiday, start, args.run_id)
-        write_table(result, lake.layer("forecast"), lake.fmt)
+        write_layer(result, lake.layer("forecast"), lake.fmt)
 
 
 if __name__ == "__main__":

@@ -14,6 +14,7 @@ from pyspark.ml.regression import (
 )
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationflow.operators.evaluation import evaluate
 from stationflow.operators.features import FEATURES
@@ -94,18 +95,35 @@ def prediction_column(label: str) -> str:
 
 def _split_by_share(data: DataFrame, share: Column, weights: Sequence[float]) -> DataFrame:
     """``share`` in [0, 1) to a split name; a column of its own first, so that it is drawn only once."""
-    train, val = weights[0], weights[0] + weights[1]
+    # The bounds as randomSplit adds them up.
+    train = weights[0] / sum(weights)
+    val = train + weights[1] / sum(weights)
     drawn = F.col("_share")
     split = F.when(drawn < train, SPLITS[0]).when(drawn < val, SPLITS[1]).otherwise(SPLITS[2])
     return data.withColumn("_share", share).withColumn("split", split).drop("_share")
 
 
 def random_split(data: DataFrame, weights: Sequence[float] = SPLIT_WEIGHTS, seed: int = 29) -> DataFrame:
-    """Seeded random split as a ``split`` column, in one pass without sorting.
+    """The parts of ``data.randomSplit(weights, seed)`` as a ``split`` column: the same rows, from one pass instead of one
+    for each part.
 
-    The draw follows each row's place in its partition, so it repeats on a stored table only.
+    randomSplit sorts each partition by all columns and draws a number for each row, from a generator seeded by the seed and
+    the partition; a part takes the rows whose number lies between its bounds. ``rand`` is the same generator. The draw follows each
+    row's partition, so it repeats on a stored table only.
     """
-    return _split_by_share(data, F.rand(seed), weights)
+    ordered = [f.name for f in data.schema.fields if _has_order(f.dataType)]
+    return _split_by_share(data.sortWithinPartitions(*[F.col(f"`{c}`") for c in ordered]) if ordered else data, F.rand(seed), weights)
+
+
+def _has_order(kind: T.DataType) -> bool:
+    """Whether Spark sorts by values of this type."""
+    if isinstance(kind, T.UserDefinedType):
+        return _has_order(kind.sqlType())
+    if isinstance(kind, T.StructType):
+        return all(_has_order(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _has_order(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
 
 
 def keyed_split(data: DataFrame, keys: Sequence[str], weights: Sequence[float] = SPLIT_WEIGHTS) -> DataFrame:

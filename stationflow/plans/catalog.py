@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +22,7 @@ from stationflow.functions.calendar import (
 )
 from stationflow.functions.cyclic import CYCLIC_COLUMNS, encode_cycles
 from stationflow.functions.numeric import truncate_to_int
-from stationflow.operators import demand, features, forecast, harmonize, stations, training, trips
+from stationflow.operators import demand, features, forecast, harmonize, stations, training, trees, trips
 from stationflow.operators.evaluation import evaluate, r2, rmse
 from stationflow.plans import forecasting
 from stationflow.plans import training as training_jobs
@@ -32,6 +32,8 @@ from stationflow.plans.medallion import (
     ingest,
     load_features,
     read_gold,
+    read_monthly_silver,
+    refine_months_to_silver,
     refine_to_bronze,
     refine_to_gold,
     refine_to_silver,
@@ -40,7 +42,8 @@ from stationflow.plans.medallion import (
 from stationflow.session import fresh_path
 from stationflow.sources import testbed
 from stationflow.sources.eras import ERA_1, ERA_2, TRIP_COLUMNS, scan_both_eras, scan_csv
-from stationflow.sources.tables import read_table, write_table
+from stationflow.sources.tables import read_layer, read_table, write_layer, write_table
+from stationflow.streaming import demand as demand_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,9 +93,9 @@ def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stored_silver(spark: SparkSession, sf_dir: str, keep_keys: bool = False) -> LakePaths:
     """A new lake with bronze, station and silver layers."""
     lake = LakePaths(fresh_path(spark, "lake"))
-    write_table(testbed.bronze(spark, sf_dir), lake.layer("bronze"))
-    write_table(testbed.stations(spark, sf_dir), lake.layer("station"))
-    write_table(stations.station_points(read_table(spark, lake.layer("station"))), lake.layer("station_point"))
+    write_layer(testbed.bronze(spark, sf_dir), lake.layer("bronze"))
+    write_layer(testbed.stations(spark, sf_dir), lake.layer("station"))
+    write_layer(stations.station_points(read_layer(spark, lake.layer("station"))), lake.layer("station_point"))
     refine_to_silver(spark, lake, keep_keys=keep_keys)
     return lake
 
@@ -113,19 +116,6 @@ def _trained(spark: SparkSession, sf_dir: str, family: str = "random_forest") ->
     return _LAKES[at], _TRAINED[*at, family]
 
 
-def _label_ranges(lake: LakePaths, spark: SparkSession) -> dict[str, tuple[int, int]]:
-    """Least and largest value of each label: one row."""
-    ends = [f(label).alias(f"{name}_{label}") for label in features.LABELS for name, f in (("low", F.min), ("high", F.max))]
-    row = read_gold(spark, lake).agg(*ends).first()
-    return {label: (row[f"low_{label}"], row[f"high_{label}"]) for label in features.LABELS}
-
-
-def _in_range(lake: LakePaths, spark: SparkSession) -> Column:
-    """Whether both predictions lie within their labels' values, as means of training rows do."""
-    parts = [F.col(p).between(*_label_ranges(lake, spark)[label]) for label, p in zip(features.LABELS, forecast.PREDICTIONS, strict=True)]
-    return F.coalesce(parts[0] & parts[1], F.lit(False)).alias("in_range")
-
-
 def _unpacked(df: DataFrame, vector: str, size: int, *kept: str) -> DataFrame:
     """Vector slots as columns f00, f01, ...; only the scaled numbers need rounding, the rest is 0 or 1."""
     with_array = df.select(*kept, vector_to_array(vector).alias("slots"))
@@ -529,23 +519,16 @@ def eval_both(spark, sf_dir):
 
 @query
 def train_split(spark, sf_dir):
-    """Rows of a random split, those in exactly one of its three parts, and whether each part's size is
-    within five standard deviations of its weight."""
-    split = training.random_split(_silver(spark, sf_dir))
-    sizes = split.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_if(F.col("split") == name).alias(name) for name in training.SPLITS],
-    )
-    n = F.col("n_rows")
-    near = [
-        F.abs(F.col(name) - n * weight) < 5 * F.sqrt(n * weight * (1 - weight))
-        for name, weight in zip(training.SPLITS, training.SPLIT_WEIGHTS, strict=True)
-    ]
-    return sizes.select(
-        "n_rows",
-        (F.col("train") + F.col("val") + F.col("test")).alias("n_assigned"),
-        (near[0] & near[1] & near[2]).alias("near_weights"),
-    )
+    """Rows of stored silver, and those that the split column deals to another part than randomSplit does."""
+    path = fresh_path(spark, "silver")
+    write_table(_silver(spark, sf_dir, keep_keys=True), path)
+    silver = read_table(spark, path)
+    parts = silver.randomSplit(list(training.SPLIT_WEIGHTS), 29)
+    drawn = reduce(DataFrame.unionByName, [part.withColumn("split", F.lit(name)) for part, name in zip(parts, training.SPLITS, strict=True)])
+    ours = training.random_split(silver, seed=29)
+    both = ours.withColumn("side", F.lit(1)).unionByName(drawn.withColumn("side", F.lit(-1)))
+    per_row = both.groupBy(*ours.columns).agg(F.sum("side").alias("surplus"), F.count_if(F.col("side") == 1).alias("n"))
+    return per_row.agg(F.sum("n").alias("n_rows"), F.count_if(F.col("surplus") != 0).alias("n_differ"))
 
 
 @query
@@ -556,29 +539,36 @@ def train_split_keyed(spark, sf_dir):
     return training.keyed_split(keyed, ["station_id", "hour_key"]).select("station_id", "time", "split")
 
 
-def _one_stump(spark, sf_dir, family: str) -> DataFrame:
-    """Metrics of one tree of one split on the holiday flag alone: its predictions are the two group means."""
+def _keyed_flags(spark, sf_dir, *flags: Column) -> DataFrame:
+    """Stored rows of 0/1 features, bike demand and keyed split."""
     silver = _silver(spark, sf_dir, keep_keys=True).withColumn("hour_key", F.date_format("time", "yyyy-MM-dd HH"))
-    flag = array_to_vector(F.array(F.col("is_holiday").cast("double"))).alias(features.FEATURES)
-    rows = training.keyed_split(silver, ["station_id", "hour_key"]).select(flag, "bike_demand", "split")
-    path = fresh_path(spark, "stump")
+    vector = array_to_vector(F.array(*[f.cast("double") for f in flags])).alias(features.FEATURES)
+    rows = training.keyed_split(silver, ["station_id", "hour_key"]).select(vector, "bike_demand", "split")
+    path = fresh_path(spark, "flags")
     write_table(rows, path, partition_by=["split"])
-    settings = training.TreeSettings(num_trees=1, max_depth=1, subsampling_rate=1.0, min_instances_per_node=1)
+    return read_table(spark, path)
+
+
+def _flag_metrics(family: str, rows: DataFrame, num_trees: int) -> DataFrame:
+    """Metrics of an ensemble of trees with one split each."""
+    settings = training.TreeSettings(num_trees=num_trees, max_depth=1, subsampling_rate=1.0, min_instances_per_node=1)
     estimator = training.family_of(family).estimator("bike_demand", "predicted_bike_demand", settings)
     if family == "random_forest":
         estimator = estimator.setBootstrap(False)
-    metrics = training.fit_and_evaluate(estimator, read_table(spark, path))[1]
-    return _rounded(metrics, "value")
+    return _rounded(training.fit_and_evaluate(estimator, rows)[1], "value")
 
 
 @query
 def train_rf(spark, sf_dir):
-    return _one_stump(spark, sf_dir, "random_forest")
+    """One tree of one split on the holiday flag: its predictions are the two group means."""
+    return _flag_metrics("random_forest", _keyed_flags(spark, sf_dir, F.col("is_holiday")), 1)
 
 
 @query
 def train_gbt(spark, sf_dir):
-    return _one_stump(spark, sf_dir, "gbt")
+    """Four boosted trees of one split each, on the holiday flag or the flag of morning hours: each predicts the two means of what
+    those before it left over, split by the flag that leaves less."""
+    return _flag_metrics("gbt", _keyed_flags(spark, sf_dir, F.col("is_holiday"), F.col("hour") < 12), 4)
 
 
 def _recomputed(spark, sf_dir, family: str) -> DataFrame:
@@ -623,7 +613,7 @@ def model_version_score(spark, sf_dir):
     """Rows of each year, and those an earlier run predicts as it did before gold and its features were
     fitted again on other rows."""
     lake = _stored_silver(spark, sf_dir, keep_keys=True)
-    silver = read_table(spark, lake.layer("silver"))
+    silver = read_layer(spark, lake.layer("silver"))
     path = fresh_path(spark, "silver")
     write_table(silver, path)
     silver = read_table(spark, path)
@@ -632,7 +622,7 @@ def model_version_score(spark, sf_dir):
     keys = ["station_id", "time"]
     before, after = fresh_path(spark, "before"), fresh_path(spark, "after")
     write_table(forecasting.predict(spark, silver, lake, "random_forest").select(*keys, *forecast.PREDICTIONS), before)
-    write_table(silver.filter("year >= 2021"), lake.layer("silver"))
+    write_layer(silver.filter("year >= 2021"), lake.layer("silver"))
     refine_to_gold(spark, lake, "station_id", "time")
     write_table(
         forecasting.predict(spark, silver, lake, "random_forest", first).select(*keys, *[F.col(p).alias(f"again_{p}") for p in forecast.PREDICTIONS]), after
@@ -644,12 +634,43 @@ def model_version_score(spark, sf_dir):
     )
 
 
+def _walked(spark, rows: DataFrame, keys: list[str], lake: LakePaths, run_id: str) -> DataFrame:
+    """keys of rows with calendar parts, coordinates and holiday flag, and both predictions by walking the saved trees."""
+    run = training_jobs.latest_run(spark, lake, "random_forest", run_id)
+    out = load_features(lake, run.features).transform(encode_cycles(rows)).select(*keys, features.FEATURES)
+    for label in features.LABELS:
+        nodes = trees.node_table(spark, training_jobs.model_path(lake, "random_forest", label, run_id))
+        out = trees.walk(out, nodes, features.FEATURES, f"walked_{label}", average=True)
+    return out.drop(features.FEATURES)
+
+
+def _agrees(within: float) -> Column:
+    """Whether both predictions are the walked ones."""
+    parts = [F.abs(F.col(p) - F.col(f"walked_{label}")) <= within for label, p in zip(features.LABELS, forecast.PREDICTIONS, strict=True)]
+    return F.coalesce(parts[0] & parts[1], F.lit(False)).alias("agrees")
+
+
 @query
 def score_both_targets(spark, sf_dir):
+    """Both predictions of every silver row, and whether they are what its leaves in the saved trees say."""
     lake, run_id = _trained(spark, sf_dir)
-    silver = read_table(spark, lake.layer("silver"))
+    silver = read_layer(spark, lake.layer("silver"))
     scored = forecasting.predict(spark, silver, lake, "random_forest", run_id)
-    return scored.select("station_id", "time", *features.LABELS, _in_range(lake, spark))
+    walked = _walked(spark, silver, ["station_id", "time"], lake, run_id)
+    return scored.join(walked, ["station_id", "time"], "left").select("station_id", "time", *features.LABELS, _agrees(1e-9))
+
+
+def _forecast_agrees(spark, rows: DataFrame, lake: LakePaths, run_id: str) -> DataFrame:
+    """Forecast rows, and whether they are the rounded predictions that walking the saved trees gives for their hour."""
+    path = fresh_path(spark, "forecast")
+    write_table(rows.withColumn("hour_time", F.date_trunc("hour", "time")), path)
+    stored = read_table(spark, path)
+    keys = ["latitude", "longitude", "hour_time", "is_holiday"]
+    asked = stored.select(*keys).distinct().withColumn("time", F.col("hour_time"))
+    walked = _walked(spark, with_calendar_parts(asked, keep_time=True), keys, lake, run_id)
+    found = stored.join(walked, keys, "left")
+    # A prediction that lies on the half of a number may be rounded either way by the last bit of a sum.
+    return found.withColumn("agrees", _agrees(0.5 + 1e-9))
 
 
 # -- forecast ----------------------------------------------------------------------------------------
@@ -723,16 +744,16 @@ def forecast_unify(spark, sf_dir):
 def forecast_demand(spark, sf_dir):
     lake, run_id = _trained(spark, sf_dir)
     rows = forecasting.forecast(spark, lake, testbed.requests(spark, sf_dir), run_id=run_id)
-    return rows.select("event_id", "station_name", "time", _in_range(lake, spark))
+    return _forecast_agrees(spark, rows, lake, run_id).select("event_id", "station_name", "time", "agrees")
 
 
 @query
 def forecast_every_station(spark, sf_dir):
     """Every station's next day, starting at the last departure seen anywhere."""
     lake, run_id = _trained(spark, sf_dir)
-    last = read_table(spark, lake.layer("bronze")).agg(F.max("start_time").alias("start")).first().start
+    last = read_layer(spark, lake.layer("bronze")).agg(F.max("start_time").alias("start")).first().start
     rows = forecasting.forecast(spark, lake, holiday="calendar", start=F.lit(last), run_id=run_id)
-    return rows.select("station_id", "time", "is_holiday", _in_range(lake, spark))
+    return _forecast_agrees(spark, rows, lake, run_id).select("station_id", "time", "is_holiday", "agrees")
 
 
 # -- jobs --------------------------------------------------------------------------------------------
@@ -744,16 +765,16 @@ def job_ingest(spark, sf_dir):
     testbed.write_csv(testbed.era_1_rows(spark, sf_dir), lake.csv("era_1"))
     testbed.write_csv(testbed.era_2_rows(spark, sf_dir), lake.csv("era_2"))
     ingest(spark, lake)
-    return read_table(spark, lake.layer("raw")).select(*TRIP_COLUMNS)
+    return read_layer(spark, lake.layer("raw")).select(*TRIP_COLUMNS)
 
 
 @query
 def job_bronze(spark, sf_dir):
     lake = LakePaths(fresh_path(spark, "lake"))
-    write_table(testbed.raw(spark, sf_dir), lake.layer("raw"))
+    write_layer(testbed.raw(spark, sf_dir), lake.layer("raw"))
     refine_to_bronze(spark, lake)
-    bronze = read_table(spark, lake.layer("bronze"))
-    station = read_table(spark, lake.layer("station"))
+    bronze = read_layer(spark, lake.layer("bronze"))
+    station = read_layer(spark, lake.layer("station"))
     return stations.with_coordinates(
         bronze.withColumnRenamed("start_station_id", "station_id"), station, keep_keys=True
     ).withColumnRenamed("station_id", "start_station_id")
@@ -762,7 +783,7 @@ def job_bronze(spark, sf_dir):
 @query
 def job_silver(spark, sf_dir):
     lake = _stored_silver(spark, sf_dir)
-    return read_table(spark, lake.layer("silver"))
+    return read_layer(spark, lake.layer("silver"))
 
 
 @query
@@ -780,15 +801,43 @@ def job_train(spark, sf_dir):
 def job_chain(spark, sf_dir):
     """Raw trips to forecasts through every layer, unreadable times rejected: one row of what each layer holds."""
     lake = LakePaths(fresh_path(spark, "lake"))
-    write_table(testbed.raw(spark, sf_dir), lake.layer("raw"))
+    write_layer(testbed.raw(spark, sf_dir), lake.layer("raw"))
     refine_to_bronze(spark, lake)
     refine_to_silver(spark, lake, unreadable="reject")
     refine_to_gold(spark, lake)
-    training_jobs.train_both(spark, lake)
+    run_id = training_jobs.train_both(spark, lake)
     rows = forecasting.forecast(spark, lake, start=F.lit("2024-01-01 08:00:00").cast("timestamp"), holiday="calendar")
-    counted = [read_table(spark, lake.layer(n)).agg(F.count("*").alias(f"n_{n}")) for n in ("raw", "bronze", "rejects", "silver", "station")]
-    counted += [read_gold(spark, lake).agg(F.count("*").alias("n_gold")), rows.agg(F.count_if(_in_range(lake, spark)).alias("n_forecast"))]
+    rows = _forecast_agrees(spark, rows, lake, run_id)
+    counted = [read_layer(spark, lake.layer(n)).agg(F.count("*").alias(f"n_{n}")) for n in ("raw", "bronze", "rejects", "silver", "station")]
+    counted += [read_gold(spark, lake).agg(F.count("*").alias("n_gold")), rows.agg(F.count_if("agrees").alias("n_forecast"))]
     first, *rest = [c.withColumn("one", F.lit(1)) for c in counted]  # a row each
     for other in rest:
         first = first.join(other, "one")
     return first.drop("one")
+
+
+@query
+def streamed_demand(spark, sf_dir):
+    """Hourly demand from a stream of trip files in two runs: half of the files, then all, in batches of three."""
+    trips_at, out, checkpoint = (fresh_path(spark, name) for name in ("arrivals", "streamed", "checkpoint"))
+    rows = testbed.bronze(spark, sf_dir)
+    for part in (0, 1):  # the later half of the trips arrives first
+        write_table(rows.filter((F.year("start_time") < 2017) == (part == 1)).repartition(4, "row_number"), f"{trips_at}/part={part}")
+        source = f"{trips_at}/part=*"
+        demand_stream.stream_hourly_demand(spark, source, rows.schema, out, checkpoint, lateness="6000 days", files_per_batch=3).awaitTermination()
+    return demand_stream.streamed_hourly_demand(spark, out)
+
+
+@query
+def monthly_silver(spark, sf_dir):
+    """Silver by month: all months without the last, then that one alone, when its trips have come."""
+    lake = LakePaths(fresh_path(spark, "lake"))
+    rows = testbed.bronze(spark, sf_dir)
+    last = rows.agg(F.date_format(F.max("end_time"), "yyyy-MM").alias("month"), F.trunc(F.max("end_time"), "month").alias("first")).first()
+    write_layer(testbed.stations(spark, sf_dir), lake.layer("station"))
+    write_layer(rows.filter(F.col("end_time") < F.lit(last["first"])), lake.layer("bronze"))
+    refine_months_to_silver(spark, lake)
+    write_layer(rows, lake.layer("bronze"))
+    before = rows.filter(F.col("end_time") >= F.lit(last["first"])).agg(F.date_format(F.min("start_time"), "yyyy-MM").alias("month")).first()
+    refine_months_to_silver(spark, lake, sorted({before["month"], last["month"]}))
+    return read_monthly_silver(spark, lake)

@@ -213,6 +213,25 @@ _MONTHS = [f"CAST(month = {slot} AS DOUBLE)" for slot in range(12)]
 _WEEKDAYS = [f"CAST(weekday = {slot} AS DOUBLE)" for slot in range(6)]
 
 
+def _boosted(n_trees: int, rate: float = 0.1) -> str:
+    """Metrics of boosted trees of one split each. The first tree predicts the label, each later one twice what is left over; a tree
+    splits by the flag whose group means have the larger sum of squares over the training rows."""
+    train = "FILTER (WHERE split = 'train')"
+    step = f"""(
+        SELECT split, y, holiday, morning, p + {{weight}} * CASE WHEN sum(h * h) {train} OVER () >= sum(m * m) {train} OVER () THEN h ELSE m END AS p
+        FROM (SELECT *, avg({{left}}) {train} OVER (PARTITION BY holiday) AS h, avg({{left}}) {train} OVER (PARTITION BY morning) AS m
+              FROM {{rows}}))"""
+    rows = f"(SELECT {_KEYED_SPLIT} AS split, bike_demand AS y, ({HOLIDAY}) AS holiday, hour < 12 AS morning, 0::DOUBLE AS p FROM keyed_silver)"
+    for k in range(n_trees):
+        rows = step.format(rows=rows, left="y" if k == 0 else "2 * (y - p)", weight="1" if k == 0 else f"{rate}::DOUBLE")
+    return _with(
+        f"""SELECT 'bike_demand' AS label, split, unnest(['rmse', 'r2']) AS metric,
+                   round(unnest([sqrt(avg((y - p) ^ 2)), 1 - sum((y - p) ^ 2) / (var_pop(y) * count(*))]), 6) AS value
+            FROM {rows} WHERE split <> 'train' GROUP BY split""",
+        "keyed_silver",
+    )
+
+
 def _slots(*exprs: str) -> str:
     return ", ".join(f"{expr} AS f{i:02d}" for i, expr in enumerate(exprs))
 
@@ -435,7 +454,7 @@ ORACLES: dict[str, str] = {
         f"SELECT CAST(year(time) AS INTEGER) AS year, {_NAIVE_RMSE}, {_NAIVE_R2} FROM demand GROUP BY ALL", "demand"
     ),
     "train_split": _with(
-        "SELECT count(*) AS n_rows, count(*) AS n_assigned, true AS near_weights FROM demand", "demand"
+        "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_differ FROM demand", "demand"
     ),
     "train_split_keyed": _with(
         """SELECT station_id, time,
@@ -492,21 +511,24 @@ ORACLES: dict[str, str] = {
                 WHERE split <> 'train' GROUP BY split""",
             "keyed_silver",
         )
-        for name in ("train_rf", "train_gbt")
+        for name in ("train_rf",)
     },
+    "train_gbt": _boosted(4),
+    "streamed_demand": _with("SELECT * FROM demand", "demand"),
+    "monthly_silver": SILVER,
     "train_two_targets": f"SELECT label, split, metric, true AS agrees FROM {_METRICS}",
     "job_train": f"SELECT label, split, metric, true AS agrees, 'random_forest' AS model FROM {_METRICS}",
     "experiment_metrics": f"""
         SELECT model, label, split, metric, CAST(1 AS BIGINT) AS n_runs, CAST(1 AS BIGINT) AS n_features, CAST(0 AS BIGINT) AS n_null
         FROM {_METRICS}, (VALUES ('random_forest')) AS families(model)""",
-    "score_both_targets": _with("SELECT station_id, time, bike_demand, dock_demand, true AS in_range FROM demand", "demand"),
+    "score_both_targets": _with("SELECT station_id, time, bike_demand, dock_demand, true AS agrees FROM demand", "demand"),
     "forecast_demand": _with(
-        """SELECT event_id, station_name, start + to_hours(h) AS time, true AS in_range
+        """SELECT event_id, station_name, start + to_hours(h) AS time, true AS agrees
            FROM requests JOIN stations ON name = station_name, range(24) AS hours(h)""",
         "requests", "stations",
     ),
     "forecast_every_station": _with(
-        f"""SELECT station_id, time, CAST({HOLIDAY} AS INTEGER) AS is_holiday, true AS in_range
+        f"""SELECT station_id, time, CAST({HOLIDAY} AS INTEGER) AS is_holiday, true AS agrees
             FROM (SELECT *, month(time) AS month, day(time) AS dayofmonth, isodow(time) - 1 AS weekday
                   FROM (SELECT id AS station_id, last + to_hours(h) AS time
                         FROM stations, (SELECT date_trunc('minute', max(start_time))::TIMESTAMP AS last FROM trips), range(24) AS hours(h)))""",

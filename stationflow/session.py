@@ -5,7 +5,11 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+import warnings
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 SESSION_DEFAULTS = {
@@ -15,8 +19,13 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.legacy.timeParserPolicy": "CORRECTED",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Beyond 2000 partitions shuffles report mean block sizes, which hides hot keys from AQE. Blocks of five times the
+    # median and more are reported exactly with this; it holds for sessions started with it only.
+    "spark.shuffle.accurateBlockSkewedFactor": "5.0",
 }
 
+# Partitions up to which shuffles report every block's size anyway.
+EXACT_SIZES_UP_TO = 2000
 
 # A shuffle partition of this size fits an executor core's share of memory with room for its sort or hash.
 SHUFFLE_PARTITION_MB = 128
@@ -35,7 +44,14 @@ def build_session(
     ``shuffle_gb``, the expected size of the largest shuffle, sets how many partitions shuffles start
     with; AQE merges what turns out too small, but splits no aggregation that starts with too few. So the
     default is high; naming ``spark.sql.shuffle.partitions`` instead takes that number.
+
+    A session that already runs is returned as it is.
     """
+    running = SparkSession.getActiveSession()
+    if running is not None:
+        if not sees_skew(running):
+            warnings.warn("AQE can't see hot keys: start the session with spark.shuffle.accurateBlockSkewedFactor", stacklevel=2)
+        return running
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
@@ -49,6 +65,20 @@ def build_session(
     return builder.getOrCreate()
 
 
+def sees_skew(spark: SparkSession) -> bool:
+    """Whether AQE splits hot keys of joins in this session: it must be on and know the sizes of shuffled blocks."""
+    on = all(spark.conf.get(f"spark.sql.adaptive.{key}", "true") == "true" for key in ("enabled", "skewJoin.enabled"))
+    partitions = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or spark.conf.get("spark.sql.shuffle.partitions", "200")
+    exact = float(spark.sparkContext.getConf().get("spark.shuffle.accurateBlockSkewedFactor", "-1")) > 0
+    return on and (exact or int(partitions) <= EXACT_SIZES_UP_TO)
+
+
+def run_together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    """Run independent jobs at once, so that one fills the cores that another leaves idle; results in order."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can read: the session's ``spark.checkpoint.dir``.
 

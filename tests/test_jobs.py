@@ -1,14 +1,20 @@
 """The layer jobs from CSV files on, and the query catalog against its SQL."""
 
+from functools import reduce
+
 import pytest
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stationflow.__main__ import main as command_line
+from stationflow.operators import demand
 from stationflow.plans import medallion
 from stationflow.plans.catalog import QUERIES
 from stationflow.plans.oracles import ORACLES
-from stationflow.session import fresh_path, shared_folder
+from stationflow.session import build_session, fresh_path, sees_skew, shared_folder
 from stationflow.sources import testbed
-from stationflow.sources.tables import read_table
+from stationflow.sources.tables import layer_version, read_layer, read_table, write_layer
+from stationflow.streaming.demand import stream_hourly_demand, streamed_hourly_demand
 from tests.check_oracles import compare, duck
 
 ERA_1_FILE = """h,h,h,h,h,h,h,h,h,h,h,h,h,h,h
@@ -36,21 +42,21 @@ def lake(spark, tmp_path_factory):
 
 
 def test_ingested(spark, lake):
-    raw = read_table(spark, lake.layer("raw"))
+    raw = read_layer(spark, lake.layer("raw"))
     assert raw.count() == 4 and raw.columns[-2:] == ["row_number", "file_path"]
 
 
 def test_bronze(spark, lake):
-    got = sorted(str(r.start_time) for r in read_table(spark, lake.layer("bronze")).collect())
+    got = sorted(str(r.start_time) for r in read_layer(spark, lake.layer("bronze")).collect())
     assert got == ["2015-01-01 00:01:00", "2015-01-01 01:01:00", "2021-08-10 00:00:00"]
-    stations = {r.id: r.name for r in read_table(spark, lake.layer("station")).collect()}
+    stations = {r.id: r.name for r in read_layer(spark, lake.layer("station")).collect()}
     assert stations == {10: "Ten", 20: "Twenty", 30: "Thirty"}
 
 
 def test_silver(spark, lake):
     got = {
         (r.station_id, str(r.time)): (r.bike_demand, r.dock_demand)
-        for r in read_table(spark, lake.layer("silver")).collect()
+        for r in read_layer(spark, lake.layer("silver")).collect()
     }
     assert got == {
         (10, "2015-01-01 00:00:00"): (1, 0),
@@ -64,7 +70,7 @@ def test_silver(spark, lake):
 
 def test_silver_by_year(spark, lake):
     medallion.refine_to_silver(spark, lake, partition_by_year=True)
-    plan = read_table(spark, lake.layer("silver")).filter("year = 2015")
+    plan = read_layer(spark, lake.layer("silver")).filter("year = 2015")
     assert plan.count() == 4 and len(plan.inputFiles()) > 0
 
 
@@ -106,12 +112,97 @@ def test_command_line(spark, tmp_path):
         folder.mkdir(parents=True)
         (folder / name).write_text(text)
     for job in ("ingest", "bronze", "silver", "gold"):
-        command_line(["--root", str(root), job, "--keep-keys", "--preserve-time", "--unreadable", "reject"])
+        command_line(["--root", str(root), job, "--keep-keys", "--preserve-time", "--unreadable", "reject"], spark)
     gold = medallion.read_gold(spark, medallion.LakePaths(str(root)))
     assert gold.columns == ["station_id", "time", "final_features", "bike_demand", "dock_demand", "split"]
     assert gold.count() == 6
 
 
+def test_a_running_session_keeps_its_settings(spark):
+    before = {key: spark.conf.get(key, None) for key in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")}
+    assert build_session("other", shuffle_gb=1000, **{"spark.sql.shuffle.partitions": "77"}) is spark
+    assert {key: spark.conf.get(key, None) for key in before} == before
+
+
+def test_sessions_that_hide_hot_keys_are_told(spark):
+    assert sees_skew(spark)
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        assert not sees_skew(spark)
+        with pytest.warns(UserWarning, match="hot keys"):
+            build_session("other")
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+
+
+def test_a_broken_write_leaves_the_layer_as_it_was(spark):
+    layer = fresh_path(spark, "layer")
+    first = write_layer(spark.range(5), layer)
+    broken = spark.range(0, 100, 1, 4).select(F.when(F.col("id") == 99, F.raise_error(F.lit("killed"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="killed"):
+        write_layer(broken, layer)
+    assert layer_version(spark, layer) == first and read_layer(spark, layer).count() == 5
+    second = write_layer(spark.range(7), layer)
+    assert layer_version(spark, layer) == second and read_layer(spark, layer).count() == 7
+    assert read_layer(spark, layer, version=first).count() == 5
+    with pytest.raises(LookupError):
+        read_layer(spark, fresh_path(spark, "nothing"))
+
+
+def test_a_job_that_breaks_off_leaves_every_layer_readable(spark, lake, monkeypatch):
+    layers = ("bronze", "station", "station_point", "silver")
+    before = {n: sorted(map(str, read_layer(spark, lake.layer(n)).collect())) for n in layers}
+    monkeypatch.setattr(medallion, "trip_fact", lambda trips: trips.select(F.raise_error(F.lit("killed")).cast("long").alias("row_number")))
+    monkeypatch.setattr(medallion, "station_dimension", lambda seen, how: seen.select(F.raise_error(F.lit("killed")).cast("int").alias("id")))
+    monkeypatch.setattr(medallion, "silver_rows", lambda *args: spark.range(1).select(F.raise_error(F.lit("killed")).cast("int").alias("year")))
+    for job in (medallion.refine_to_bronze, medallion.refine_to_silver):
+        with pytest.raises(Exception, match="killed"):
+            job(spark, lake)
+    assert {n: sorted(map(str, read_layer(spark, lake.layer(n)).collect())) for n in layers} == before
+
+
+def test_a_new_month_rewrites_its_folder_only(spark, tmp_path):
+    lake = medallion.LakePaths(str(tmp_path))
+    day = lambda text: F.to_timestamp(F.lit(text))
+
+    def trips(*rows):
+        parts = [spark.range(1).select(day(a).alias("start_time"), day(b).alias("end_time"), F.lit(1).alias("start_station_id"), F.lit(2).alias("end_station_id"), F.lit(i).cast("long").alias("row_number")) for i, (a, b) in enumerate(rows)]
+        return reduce(DataFrame.unionByName, parts)
+
+    old = [("2021-07-05 10:00:00", "2021-07-05 10:20:00"), ("2021-07-31 23:50:00", "2021-08-01 00:10:00")]
+    new = [*old, ("2021-08-03 09:00:00", "2021-08-03 09:05:00")]
+    write_layer(spark.createDataFrame([(1, "One", 1.0, 2.0), (2, "Two", 3.0, 4.0)], "id int, name string, latitude float, longitude float"), lake.layer("station"))
+    write_layer(trips(*old), lake.layer("bronze"))
+    medallion.refine_months_to_silver(spark, lake, keep_keys=True)
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "layers/monthly_silver").rglob("*.parquet")}
+    july = [p for p in files if "file_month=7" in str(p)]
+    write_layer(trips(*new), lake.layer("bronze"))
+    medallion.refine_months_to_silver(spark, lake, ["2021-08"], keep_keys=True)
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "layers/monthly_silver").rglob("*.parquet")}
+    assert july and all(after.get(p) == files[p] for p in july)
+    whole = medallion.silver_rows(read_layer(spark, lake.layer("bronze")), read_layer(spark, lake.layer("station")), keep_keys=True)
+    monthly = medallion.read_monthly_silver(spark, lake).select(*whole.columns)
+    assert sorted(map(str, monthly.collect())) == sorted(map(str, whole.collect())) and monthly.count() == 6
+
+
+def test_a_stream_goes_on_where_it_stopped(spark, tmp_path):
+    rows = testbed.bronze(spark, "/root/testdata/sf0.001", gaps=True).filter("start_time is not null and end_time is not null").cache()
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    wanted = demand.hourly_demand(rows)
+    for third in range(3):  # hours get more trips with every run
+        rows.filter(F.col("row_number") % 3 == third).repartition(2).write.mode("append").parquet(source)
+        stream_hourly_demand(spark, source, rows.schema, out, checkpoint, "6000 days", 1).awaitTermination()
+    stream_hourly_demand(spark, source, rows.schema, out, checkpoint, "6000 days").awaitTermination()  # nothing new
+    found = streamed_hourly_demand(spark, out)
+    assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+    # A batch that is run again replaces what it wrote.
+    last = max(int(p.name.partition("=")[2]) for p in (tmp_path / "out").iterdir())
+    batch = read_table(spark, f"{out}/batch={last}").collect()
+    spark.createDataFrame(batch, read_table(spark, f"{out}/batch={last}").schema).write.mode("overwrite").parquet(f"{out}/batch={last}")
+    assert streamed_hourly_demand(spark, out).count() == wanted.count()
+    rows.unpersist()
+
+
 def test_testbed_covers_all_formats_and_eras(spark, sf_dir):
     months = testbed.published(testbed.trips(spark, sf_dir)).select("file_name").distinct()
     assert months.filter("file_name LIKE '202108%'").count() == 1

@@ -5,19 +5,21 @@ from datetime import datetime
 
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import VectorAssembler, VectorIndexer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from stationflow.functions.calendar import with_calendar_parts
 from stationflow.functions.cyclic import encode_cycles
-from stationflow.operators import features, forecast, training
+from stationflow.operators import features, forecast, training, trees
 from stationflow.operators.evaluation import evaluate
 from stationflow.operators.stations import station_points
 from stationflow.plans import forecasting, medallion
 from stationflow.plans import training as jobs
 from stationflow.session import fresh_path
 from stationflow.sources import testbed
-from stationflow.sources.tables import read_table, write_table
+from stationflow.sources.tables import read_layer, read_table, write_layer, write_table
 
 SMALL = training.TreeSettings(num_trees=5, max_depth=6, subsampling_rate=0.8, min_instances_per_node=5)
 
@@ -25,11 +27,11 @@ SMALL = training.TreeSettings(num_trees=5, max_depth=6, subsampling_rate=0.8, mi
 @pytest.fixture(scope="module")
 def lake(spark, sf_dir):
     lake = medallion.LakePaths(fresh_path(spark, "lake"))
-    write_table(testbed.raw(spark, sf_dir), lake.layer("raw"))
+    write_layer(testbed.raw(spark, sf_dir), lake.layer("raw"))
     medallion.refine_to_bronze(spark, lake)
     # Trips whose times could not be read count at an unknown hour; the features refuse them.
     nulls = medallion.refine_to_silver(spark, lake, unreadable="reject").first()
-    assert nulls.year == 0 and read_table(spark, lake.layer("rejects")).count() > 0
+    assert nulls.year == 0 and read_layer(spark, lake.layer("rejects")).count() > 0
     medallion.refine_to_gold(spark, lake)
     return lake
 
@@ -50,12 +52,12 @@ def test_gold_can_run_again(spark, lake):
 def test_unreadable_times(spark, lake):
     with pytest.raises(ValueError):
         medallion.refine_to_silver(spark, lake, unreadable="drop")
-    bronze, rejects = (read_table(spark, lake.layer(n)) for n in ("bronze", "rejects"))
+    bronze, rejects = (read_layer(spark, lake.layer(n)) for n in ("bronze", "rejects"))
     assert rejects.count() == bronze.filter("start_time IS NULL OR end_time IS NULL").count()
 
 
 def test_missing_feature_raises(spark, lake):
-    silver = read_table(spark, lake.layer("silver"))
+    silver = read_layer(spark, lake.layer("silver"))
     broken = encode_cycles(silver.withColumn("latitude", F.lit(None).cast("float")))
     assert features.null_counts(silver).first().latitude == 0
     with pytest.raises(Exception):
@@ -63,7 +65,7 @@ def test_missing_feature_raises(spark, lake):
 
 
 def test_one_hot_edges(spark, lake):
-    encoded = encode_cycles(read_table(spark, lake.layer("silver")))
+    encoded = encode_cycles(read_layer(spark, lake.layer("silver")))
     out = medallion.load_features(lake, medallion.gold_version(spark, lake)).transform(encoded)
     december = out.filter("month = 12").first().encoded_month
     sunday = out.filter("weekday = 6").first().encoded_weekday
@@ -113,6 +115,38 @@ def test_split_is_complete_and_near_its_weights(spark, tmp_path, keyed):
     assert sizes == pytest.approx([0.9, 0.05, 0.05], abs=0.01)
 
 
+def test_random_split_takes_the_rows_of_the_reference_draw(spark, lake):
+    gold = medallion.read_gold(spark, lake).drop("split")
+    parts = gold.randomSplit([0.9, 0.05, 0.05], 29)
+    split = training.random_split(gold, seed=29)
+    for name, part in zip(training.SPLITS, parts, strict=True):
+        ours = split.filter(F.col("split") == name).drop("split")
+        assert ours.exceptAll(part).isEmpty() and part.exceptAll(ours).isEmpty() and not part.isEmpty()
+
+
+@pytest.mark.parametrize("family", sorted(training.FAMILIES))
+def test_walked_trees_predict_what_the_model_does(spark, lake, trained, family):
+    gold = medallion.read_gold(spark, lake)
+    model = jobs.load_model(lake, family, "bike_demand", trained[family])
+    nodes = trees.node_table(spark, jobs.model_path(lake, family, "bike_demand", trained[family]))
+    walked = model.transform(trees.walk(gold, nodes, "final_features", "walked", average=family == "random_forest"))
+    both = walked.agg(F.count("*").alias("n"), F.max(F.abs(F.col("walked") - F.col("predicted_bike_demand"))).alias("off"), F.count_distinct("walked").alias("kinds")).first()
+    assert both.n == gold.count() and both.off < 1e-9 and both.kinds > 1
+
+
+def test_walked_trees_split_by_categories(spark, tmp_path):
+    rows = spark.range(400).select((F.col("id") % 5).cast("double").alias("c"), (F.col("id") % 7).cast("double").alias("x"))
+    rows = rows.withColumn("y", F.when(F.col("c").isin(1.0, 3.0), 10).otherwise(0) + F.col("x"))
+    data = VectorIndexer(inputCol="v", outputCol="features", maxCategories=5).fit(VectorAssembler(inputCols=["c", "x"], outputCol="v").transform(rows))
+    data = data.transform(VectorAssembler(inputCols=["c", "x"], outputCol="v").transform(rows))
+    model = RandomForestRegressor(labelCol="y", numTrees=4, maxDepth=3, seed=1).fit(data)
+    model.save(str(tmp_path / "model"))
+    nodes = trees.node_table(spark, str(tmp_path / "model"))
+    assert not nodes.filter("categories is not null and left >= 0").isEmpty()
+    walked = model.transform(trees.walk(data, nodes, "features", "walked", average=True))
+    assert walked.agg(F.max(F.abs(F.col("walked") - F.col("prediction")))).first()[0] < 1e-9
+
+
 def test_keyed_split_ignores_partitioning(spark):
     def assigned(df):
         return {r.id: r.split for r in training.keyed_split(df, ["id"]).collect()}
@@ -159,13 +193,13 @@ def test_no_run_yet(spark, lake, trained):
 
 def test_a_run_of_one_label_is_not_the_latest(spark, lake, trained):
     half = jobs.Run("half", medallion.gold_version(spark, lake))
-    jobs.train_label(medallion.read_gold(spark, lake), lake, "bike_demand", "gbt", half, SMALL)
+    jobs.log_metrics(jobs.train_label(medallion.read_gold(spark, lake), lake, "bike_demand", "gbt", half, SMALL), lake, half, "gbt")
     assert jobs.latest_run(spark, lake, "gbt").run_id == trained["gbt"]
 
 
 @pytest.mark.parametrize("family", list(training.FAMILIES))
 def test_predict_keeps_rows_and_columns(spark, lake, trained, family):
-    silver = read_table(spark, lake.layer("silver"))
+    silver = read_layer(spark, lake.layer("silver"))
     out = forecasting.predict(spark, silver, lake, family)
     assert out.count() == silver.count()
     assert set(forecast.PREDICTIONS) < set(out.columns)
@@ -199,7 +233,7 @@ def test_grid_flag_and_calendar(spark):
 
 def test_forecast_every_station_from_now(spark, lake, trained):
     got = forecasting.forecast(spark, lake)
-    n = read_table(spark, lake.layer("station")).select("id").distinct().count()
+    n = read_layer(spark, lake.layer("station")).select("id").distinct().count()
     assert got.count() == 24 * n
     assert set(got.columns) == {
         "station_name", "station_id", "latitude", "longitude", "is_holiday", "time", *forecast.PREDICTIONS
@@ -216,11 +250,11 @@ def test_stations_that_share_or_lack_a_name_are_all_asked_for(spark):
 
 
 def test_answers_are_those_of_each_row(spark, lake, trained):
-    names = read_table(spark, lake.layer("station_point")).select("station_name").limit(3)
+    names = read_layer(spark, lake.layer("station_point")).select("station_name").limit(3)
     starts = spark.createDataFrame([(i, datetime(2024, 1, 1, 5, i % 4 * 7), i % 2) for i in range(12)], "req int, start timestamp, is_holiday int")
     asked = names.join(starts, F.lit(True))
     got = {(r.req, r.station_name, r.time): (r.predicted_bike_demand, r.predicted_dock_demand) for r in forecasting.forecast(spark, lake, asked).collect()}
-    grid = forecast.forecast_grid(asked, read_table(spark, lake.layer("station_point")))
+    grid = forecast.forecast_grid(asked, read_layer(spark, lake.layer("station_point")))
     rows = forecast.round_predictions(forecasting.predict(spark, with_calendar_parts(grid, keep_time=True), lake, "random_forest"))
     assert got == {(r.req, r.station_name, r.time): (r.predicted_bike_demand, r.predicted_dock_demand) for r in rows.collect()}
 

@@ -6,7 +6,7 @@ from stationflow.operators import demand, stations, trips
 from stationflow.plans import medallion
 from stationflow.session import fresh_path
 from stationflow.sources import testbed
-from stationflow.sources.tables import read_table, write_table
+from stationflow.sources.tables import read_layer, write_layer
 
 
 def plan_of(df):
@@ -16,13 +16,13 @@ def plan_of(df):
 @pytest.fixture(scope="module")
 def lake(spark, sf_dir):
     lake = medallion.LakePaths(fresh_path(spark, "plans"))
-    write_table(testbed.raw(spark, sf_dir), lake.layer("raw"))
+    write_layer(testbed.raw(spark, sf_dir), lake.layer("raw"))
     medallion.refine_to_bronze(spark, lake)
     return lake
 
 
 def test_trip_fact_is_one_scan_without_shuffle(spark, lake):
-    raw = read_table(spark, lake.layer("raw"))
+    raw = read_layer(spark, lake.layer("raw"))
     plan = plan_of(trips.trip_fact(medallion.clean_trips(raw)))
     assert plan.count("FileScan") == 1 and "Exchange" not in plan
     assert "IsNotNull(start_station_id)" in plan and "IsNotNull(end_station_id)" in plan
@@ -30,20 +30,20 @@ def test_trip_fact_is_one_scan_without_shuffle(spark, lake):
 
 
 def test_station_dimension_does_not_parse_times(spark, lake):
-    cleaned = medallion.clean_trips(read_table(spark, lake.layer("raw")))
+    cleaned = medallion.clean_trips(read_layer(spark, lake.layer("raw")))
     plan = plan_of(stations.station_dimension(stations.station_observations(cleaned)))
     assert "start_time" not in plan and plan.count("FileScan") == 1
 
 
 def test_silver_broadcasts_small_stations_and_shuffles_once(spark, lake):
-    silver = medallion.silver_rows(read_table(spark, lake.layer("bronze")), read_table(spark, lake.layer("station")))
+    silver = medallion.silver_rows(read_layer(spark, lake.layer("bronze")), read_layer(spark, lake.layer("station")))
     plan = plan_of(silver)
     assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
     assert "name#" not in plan  # the station's name is not read
 
 
 def test_each_side_of_the_demand_reads_its_own_columns(spark, lake):
-    plan = plan_of(demand.hourly_demand(read_table(spark, lake.layer("bronze"))))
+    plan = plan_of(demand.hourly_demand(read_layer(spark, lake.layer("bronze"))))
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert len(scans) == 2
     assert not any("start_time" in s and "end_time" in s for s in scans)

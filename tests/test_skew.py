@@ -59,7 +59,8 @@ def test_stations_hash_before_they_sort(spark, trips):
     assert dim.count() == 51
 
 
-def test_a_hot_name_is_split(spark):
+@pytest.mark.parametrize("partitions", [16, 4096])
+def test_a_hot_name_is_split(spark, partitions):
     """Two thirds of the requests ask for one station; without a broadcast AQE deals them to several tasks."""
     names = F.when(F.col("id") % 3 > 0, F.lit("S1")).otherwise(F.concat(F.lit("S"), (F.col("id") % 900).cast("string")))
     padding = F.sha2(F.col("id").cast("string"), 256)
@@ -78,7 +79,8 @@ def test_a_hot_name_is_split(spark):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
     }
     before = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
