@@ -29,6 +29,8 @@ from stationflow.llm.common import bounded_batches, id_and_text, pieces, stored
 WINDOW = 4096
 END_ID = 2
 SHARD_TOKENS = 1 << 24
+#: Pieces in one shard: many short documents fill a task's memory before their ids do.
+SHARD_PIECES = 1 << 20
 #: Chunks that a worker keeps, and the longest one it keeps.
 KEPT_CHUNKS, KEPT_CHARS = 500_000, 48
 #: Marks that end words most often.
@@ -171,16 +173,18 @@ def best_fit(lengths: list[int], window: int) -> list[tuple[int, int]]:
     return out
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """Every piece of every document with its sequence and its offset there.
 
-    Repeated rows are packed as often as they come; a null doc_id stays null. Sequences of a shard are numbered from
+    Repeated rows are packed as often as they come, and dealt to shards like all others; a null doc_id stays null. Sequences of a shard are numbered from
     shard * 2 ** 32 on.
     """
     cuts = stored(piece_table(docs, tokenizer, window, end_id), "pieces")
-    tokens = cuts.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    shards = max(1, math.ceil(tokens / shard_tokens))
-    dealt = cuts.withColumn("shard", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(shards)))
+    size = cuts.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("tokens"), F.count("*").alias("pieces")).first()
+    shards = max(1, math.ceil(size.tokens / shard_tokens), math.ceil(size.pieces / shard_pieces))
+    # A row's place in the stored table deals equal pieces to different shards.
+    dealt = cuts.withColumn("row", F.monotonically_increasing_id())
+    dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "row"), F.lit(shards))).drop("row")
 
     def place(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True], ignore_index=True)
@@ -195,11 +199,13 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = EN
 def sequences(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, pad_id: int = 0) -> DataFrame:
     """The packed sequences themselves: sequence_id, length, ids padded to the window.
 
-    Rows that repeat a doc_id must be given ids of their own first, as ids and places meet by doc_id here.
+    Ids and places meet by document, place and checksum; equal pieces of repeated rows share their ids.
     """
-    ids = piece_table(docs, tokenizer, window, end_id, keep_ids=True).select("doc_id", "start", "ids_crc32", "ids")
-    placed = pack(docs, tokenizer, window, end_id).select("doc_id", "start", "ids_crc32", "sequence_id", "offset")
-    met = placed.join(ids, ["doc_id", "start", "ids_crc32"])
+    key = ["doc_id", "start", "length", "ids_crc32"]
+    ids = piece_table(docs, tokenizer, window, end_id, keep_ids=True).select(*key, "ids").dropDuplicates(key)
+    placed = pack(docs, tokenizer, window, end_id).select(*key, "sequence_id", "offset")
+    same = [placed[c].eqNullSafe(ids[c]) for c in key]
+    met = placed.join(ids, same).select("sequence_id", "offset", "ids")
     parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
     whole = met.groupBy("sequence_id").agg(F.flatten(F.transform(parts, lambda p: p["ids"])).alias("ids"))
     padding = F.array_repeat(F.lit(pad_id), F.lit(window) - F.size("ids"))

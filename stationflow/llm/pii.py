@@ -29,13 +29,13 @@ BASE = {
 #: What the method may add.
 MORE = {
     "local_phone": r"(?<![0-9+()-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
-    "secret": r"(?i)\b(?:password|passwd|token|secret|api_?key)\x20{0,3}[=:]\x20{0,3}\"?[A-Za-z0-9_/+-]{8,256}\"?",
-    "spaced_email": r"(?i)\b[a-z0-9._%+-]{1,64}\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?[a-z0-9-]{1,64}\x20?(?:\(dot\)|\[dot\]|\x20dot\x20)\x20?[a-z]{2,12}\b",
+    "secret": r"(?i)\b(?:password|passwd|token|secret|api_?key)\x20{0,3}[=:]\x20{0,3}\"?[A-Za-z0-9_/+-]{8,}+\"?",
+    "spaced_email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?[a-z0-9-]++\x20?(?:\(dot\)|\[dot\]|\x20dot\x20)\x20?[a-z]{2,12}\b",
 }
 KINDS = [*BASE, *MORE]
 
 #: Gazetteers and cue words.
-DOMAINS = "com org net edu gov io de fr es uk eu info example".split()
+DOMAINS = "com org net edu gov io de fr es uk eu info example ch nl se pl cz jp cn br mx ru au nz ca dev app biz".split()
 CALLING_CODES = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 52 54 55 56 57 61 62 63 64 65 66 81 82 84 86 90 91 92".split()
 CARD_STARTS = r"^(?:4|5[1-5]|2[2-7]|3[47]|6(?:011|5))"
 CUES = {
@@ -111,8 +111,10 @@ def votes(kind: str, s: Column) -> list[Column]:
     letters, figures = hit.rlike("[A-Za-z]"), hit.rlike("[0-9]")
     if kind in ("email", "spaced_email"):
         shape = _vote(n.between(6, 64), n > 120)
-        checksum = _vote(hit.rlike(r"[A-Za-z]{2,12}$"), hit.rlike(r"[0-9-]$"))
-        gazetteer = _vote(F.array_contains(one_of(DOMAINS), F.lower(F.regexp_extract(hit, r"([A-Za-z]+)$", 1))), F.lit(False))
+        listed = F.array_contains(one_of(DOMAINS), F.lower(F.regexp_extract(hit, r"([A-Za-z]+)$", 1)))
+        # Spelled out, an address is told from a sentence by its last part alone, which must be a domain's.
+        checksum = _vote(hit.rlike(r"[A-Za-z]{2,12}$"), hit.rlike(r"[0-9-]$")) if kind == "email" else _vote(listed, ~listed)
+        gazetteer = _vote(listed, F.lit(False))
     elif kind == "ip":
         shape = _vote(n.between(7, 15), n > 15)
         checksum = _vote(octets_fit(hit), ~octets_fit(hit))
@@ -230,8 +232,10 @@ def find_spans(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     def belongs(s: Column) -> Column:
         odds = F.aggregate(s["features"], F.coalesce(F.element_at(weights_of, s["kind"]), F.lit(0.0)), lambda a, f: a + F.coalesce(F.element_at(weights_of, f), F.lit(0.0)))
-        # A failed checksum is final, and what lies in a base span is known already.
-        inside = F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+        # A failed checksum is final, and what lies in a base span is known already. A span around a base one tells more: digits of
+        # a long token may pass for a card's.
+        around = lambda b: (s["start"] <= b["start"]) & (b["end"] <= s["end"])
+        inside = F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]) & ~around(b))
         return ~s["is_base"] & (F.get(s["votes"], F.lit(1)) >= 0) & ~inside & (1 / (1 + F.exp(-odds)) >= threshold)
 
     added = F.transform(F.filter("open", belongs), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
@@ -246,6 +250,6 @@ def joined(spans: Column) -> Column:
 
 
 def personal_data(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Digest of find_spans()."""
+    """Digest of find_spans(), with the number of all spans."""
     found = find_spans(docs, threshold)
-    return found.select("doc_id", *[f"n_{k}" for k in BASE], F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *[f"n_{k}" for k in BASE], F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))

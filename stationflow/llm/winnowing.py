@@ -19,13 +19,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.common import bounded_batches, id_and_text, mix, pieces, salts
+from stationflow.llm.common import bounded_batches, id_and_text, mix, pieces
 
 K, WINDOW = 10, 24
 #: Text in one range, by which the number of ranges is chosen, and their largest number, as their bounds pass the driver.
 #: Longer ranges run through a task just as well: it holds one batch at a time.
 RANGE_MB, MOST_RANGES = 4, 100_000
 
+#: Base of the rolling hash, and its inverse modulo 2 ** 64.
+BASE = 0x9E3779B97F4A7C15
+BACK = pow(BASE, -1, 1 << 64)
+
 _LAST = np.uint64(2**64 - 1)
 _PLACES = (1 << 20) - 1
 _LOWEST = -(1 << 63)
@@ -46,9 +50,10 @@ def winnow(texts: list[str], k: int = K, window: int = WINDOW) -> list[tuple[np.
     place = np.arange(int(made.sum())) - np.repeat(np.cumsum(made) - made, made)
     at, to = np.repeat(first[:-1], made) + place, np.repeat(begin[:-1], made) + place
     size = np.repeat(np.minimum(sizes, k), made)
-    rolling = size.astype(np.uint64)
-    for j, salt in enumerate(salts(k, 17)):
-        rolling += np.where(size > j, chars[np.minimum(at + j, max(len(chars) - 1, 0))].astype(np.uint64) + np.uint64(1), np.uint64(0)) * salt if len(chars) else np.uint64(0)
+    # A gram's hash rolls on as the difference of two sums of character * base ** place, shifted to place 0.
+    powers, shifts = (np.cumprod(np.append(np.uint64(1), np.full(len(chars), b, np.uint64))) for b in (BASE, BACK))
+    sums = np.append(np.uint64(0), np.cumsum((chars.astype(np.uint64) + np.uint64(1)) * powers[:-1], dtype=np.uint64))
+    rolling = (sums[at + size] - sums[at]) * shifts[at] + size.astype(np.uint64)
     # Equal hashes: the one further right has the smaller low part.
     keys[to] = (mix(rolling) & ~np.uint64(_PLACES)) | (np.uint64(_PLACES) - (place % (_PLACES + 1)).astype(np.uint64))
     least, width = keys, 1

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -270,3 +271,52 @@ def test_quality_of_odd_rows(spark, odd_docs, no_docs):
     ones = quality.score_quality(odd_docs, labels.where("quality = 1")).collect()
     assert all(r.predicted == 1 for r in ones)
     assert np.isfinite(quality.statistics(pa.array(["", "a", "\n"]))).all()
+
+
+def test_added_personal_data_is_found(spark):
+    """Planted secrets, local phones and spelled-out addresses, some of them very long, among look-alikes."""
+    draw = random.Random(8)
+    token = lambda n: "".join(draw.choice("abcdef0123456789") for _ in range(n))
+    words = lambda: " ".join(draw.choice("the of and house river".split()) for _ in range(draw.randrange(3, 12)))
+    made = {
+        "secret": lambda: f'{draw.choice(["token", "password", "api_key"])} = "{token(draw.choice([16, 40, 400, 5000]))}"',
+        "local_phone": lambda: f"{draw.randrange(200, 999)}-{draw.randrange(200, 999)}-{draw.randrange(1000, 9999)}",
+        "spaced_email": lambda: f"{draw.choice(['ana', 'li.wu', 'x' * 90])} at {draw.choice(['mail', 'host', 'y' * 80])} dot {draw.choice(['com', 'org'])}",
+    }
+    cue = {"secret": "config", "local_phone": "call", "spaced_email": "mail"}
+    rows, planted = [], {}
+    for i in range(900):
+        kind = draw.choice(list(made))
+        plant, before = made[kind](), f"{words()} {cue[kind]} "
+        rows.append((i, f"{before}{plant} {words()}", None, None, None))
+        planted[i] = f"{kind}:{len(before)}:{len(before) + len(plant)}"
+    decoys = [f"{words()} version {draw.randrange(1000)}.{draw.randrange(1000)} token of {words()} at the dot {words()}" for _ in range(900)]
+    rows += [(1000 + i, t, None, None, None) for i, t in enumerate(decoys)]
+    found = {r.doc_id: set(filter(None, r.spans.split(","))) for r in pii.personal_data(spark.createDataFrame(rows, DOCS)).collect()}
+    for kind in made:
+        own = [i for i, span in planted.items() if span.startswith(kind)]
+        assert sum(planted[i] in found[i] for i in own) >= 0.9 * len(own)
+    added = {i: [s for s in spans if s.partition(":")[0] in made] for i, spans in found.items()}  # digits of a token may pass for a card
+    assert sum(planted[i] in found[i] for i in planted) >= 0.9 * sum(map(len, added.values()))
+    assert sum(bool(added[1000 + i]) for i in range(len(decoys))) <= 9
+
+
+def test_equal_pieces_are_dealt_to_shards(spark):
+    rows = [(None, "same text", None, None, None)] * 500 + [(7, "same text", None, None, None)] * 500
+    placed = packing.pack(spark.createDataFrame(rows, DOCS).repartition(4), tokenizer_path(), window=64, shard_pieces=100).collect()
+    shards = Counter(r.sequence_id >> 32 for r in placed)
+    assert len(placed) == 1000 and len(shards) == 10 and max(shards.values()) < 200
+    whole = packing.sequences(spark.createDataFrame(rows, DOCS), tokenizer_path(), window=64).collect()
+    assert sum(r.length for r in whole) == sum(r.length for r in placed)
+
+
+def test_rare_values_of_lang_are_not_learned(spark):
+    rows = [(i, f"plain words number {i}", "en" if i < 900 else f"dirt{i}", None, None) for i in range(1000)]
+    assert language_id.fit(spark.createDataFrame(rows, DOCS)).languages == ["en"]
+
+
+def test_rolling_hashes_depend_on_the_gram_alone():
+    text = "abcdefghijklmnop"
+    alone = {g: int(winnowing.winnow([g], 10, 24)[0][0][0]) for g in (text[i : i + 10] for i in range(7))}
+    (hashes, places), = winnowing.winnow(["", "zz" + text, text], 10, 1)[2:]
+    assert [alone[text[p : p + 10]] for p in places.tolist()] == hashes.tolist() and len(places) == 7
