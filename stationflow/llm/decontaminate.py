@@ -30,15 +30,16 @@ INSIDE = np.zeros(256, bool)
 INSIDE[0x30:0x3A] = INSIDE[0x61:0x7B] = INSIDE[0x80:] = True
 INSIDE[0x41:0x5B] = True  # A-Z, lower-cased before they are compared
 
-#: Text of the test set in one block.
-BLOCK_BYTES = 32 << 20
+#: Text of the test set in one block. Its windows take some twelve times as much, on the driver and in every task.
+BLOCK_BYTES = 8 << 20
 
 HITS = "doc_id long, n_words long, hits array<struct<start:long,end:long>>, items array<long>, matches array<struct<item_id:long,item_start:long,doc_start:long,n_words:long>>"
 
 
 @dataclass(frozen=True)
 class TestSet:
-    """Windows of a block of the test set: sorted vocabulary, suffix keys by window length, owners of each key."""
+    """Windows of a block of the test set: sorted vocabulary, suffix keys by window length, and the places (item, word) of each
+    key, in the order of keys, with where each key's begin."""
 
     __test__ = False
 
@@ -46,7 +47,12 @@ class TestSet:
     shortest: int
     window: int
     keys: dict[int, np.ndarray]
-    owners: dict[int, list[np.ndarray]]
+    places: dict[int, np.ndarray]
+    first: dict[int, np.ndarray]
+
+    def owners(self, size: int, key: int) -> list[list[int]]:
+        a, b = self.first[size][key : key + 2].tolist()
+        return self.places[size][a:b].tolist()
 
 
 def _words(texts: list[str]):
@@ -75,14 +81,14 @@ def test_set(items: list[tuple[int | None, str]], window: int) -> TestSet | None
         starts = np.arange(first, first + n - size + 1)
         keys = _packed(ranks, starts, size, np.full(len(starts), first + n))
         made.setdefault(size, []).append((keys, np.full(len(starts), ids[row]), starts - first))
-    keys, owners = {}, {}
+    keys, ordered, first_of = {}, {}, {}
     for size, parts in made.items():
         every = np.concatenate([p[0] for p in parts])
         places = np.stack([np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])], axis=1)
         keys[size], back = np.unique(every, return_inverse=True)
-        order = np.argsort(back, kind="stable")
-        owners[size] = np.split(places[order], np.cumsum(np.bincount(back))[:-1])
-    return TestSet(vocabulary, min(keys), window, keys, owners)
+        ordered[size] = places[np.argsort(back, kind="stable")]
+        first_of[size] = np.append(0, np.cumsum(np.bincount(back)))
+    return TestSet(vocabulary, min(keys), window, keys, ordered, first_of)
 
 
 test_set.__test__ = False
@@ -147,7 +153,7 @@ def search(batch: pa.RecordBatch, tests: TestSet | None) -> pa.RecordBatch:
             ranges += _runs(starts, size)
             diagonals: dict[tuple[int, int], list[int]] = {}
             for a, k in at:
-                for item, place in tests.owners[size][k].tolist():
+                for item, place in tests.owners(size, k):
                     ids.add(item)
                     diagonals.setdefault((item, a - int(words.first[row]) - place), []).append(place)
             for (item, shift), there in diagonals.items():
@@ -181,6 +187,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 10, block
     for k in range(blocks):
         rows = tests.where(block == k).collect()
         held = spark.sparkContext.broadcast(test_set([(r[0], r[1]) for r in rows], window))
+        del rows
 
         def shard(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             for batch in pieces(batches):
