@@ -15,9 +15,9 @@ ERA_1_TEXT = """a,b,c,d,e,f,g,h,i,j,k,l,m,n,o
 300,2019-02-01 00:20:00,2019-02-01 00:25:00,3494.0,Harbour,40.25,-73.5,,,,,2,,1990,0
 """
 ERA_2_TEXT = """ride_id,rideable_type,started_at,ended_at,ssn,ssi,esn,esi,a,b,c,d,member_casual
-X1,electric_bike,2023-09-16 14:00:00.500,2023-09-16 14:20:00.250,A,6932.1499,B,7243.04,40.7,-73.9,40.8,-73.8,casual
-X2,classic_bike,2023-09-16 15:00:00.000,2023-09-16 15:10:00.000,A,6932.15,B,7243.9,40.7,-73.9,40.8,-73.8,member
-X3,classic_bike,2023-09-16 16:00:00.000,2023-09-16 16:10:00.000,A,6932.15,B,7243.9,40.7,-73.9,40.8,-73.8,
+X1,electric_bike,2023-09-16 14:00:00.500,2023-09-16 14:20:00.250,A,4810.8799,B,5177.06,40.7,-73.9,40.8,-73.8,casual
+X2,classic_bike,2023-09-16 15:00:00.000,2023-09-16 15:10:00.000,A,4810.88,B,5177.6,40.7,-73.9,40.8,-73.8,member
+X3,classic_bike,2023-09-16 16:00:00.000,2023-09-16 16:10:00.000,A,4810.88,B,5177.6,40.7,-73.9,40.8,-73.8,
 """
 
 
@@ -46,7 +46,7 @@ def test_harmonize_era_2(spark, tmp_path):
     df = harmonize(scan_csv(spark, write(tmp_path, "202309-trips", ERA_2_TEXT), ERA_2), ERA_2)
     assert tuple(df.columns) == TRIP_COLUMNS
     got = [(r.start_station_id, r.end_station_id, r.member) for r in df.collect()]
-    assert got == [(6932, 7243, 0), (6932, 7243, 1), (6932, 7243, 1)]
+    assert got == [(4810, 5177, 0), (4810, 5177, 1), (4810, 5177, 1)]
 
 
 def test_combine_eras_keeps_lineage_and_unique_ids(spark, tmp_path):
@@ -65,10 +65,10 @@ def test_combining_moves_no_rows(spark, tmp_path):
 
 
 def test_truncate_to_int_never_raises(spark):
-    values = [7243.04, -1.9, math.nan, 1e20, -1e20, math.inf, None]
+    values = [5177.06, -1.9, math.nan, 1e20, -1e20, math.inf, None]
     df = spark.createDataFrame([(v,) for v in values], "v float")
     got = [r[0] for r in df.select(truncate_to_int(F.col("v"))).collect()]
-    assert got == [7243, -1, 0, 2147483647, -2147483648, 2147483647, None]
+    assert got == [5177, -1, 0, 2147483647, -2147483648, 2147483647, None]
 
 
 def test_round_half_even(spark):
