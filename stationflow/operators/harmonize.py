@@ -14,7 +14,7 @@ STATION_IDS = ("start_station_id", "end_station_id")
 def harmonize(df: DataFrame, era: Era, *extra: str) -> DataFrame:
     """One projection from an era's columns to the trip columns, in their order.
 
-    Station ids lose their fraction, so 7243.04 and 7243.1 become one station. ``extra`` columns of
+    Station ids lose their fraction, so 5177.06 and 5177.6 become one station. ``extra`` columns of
     the scan (its file path) ride along.
     """
     columns = {name: F.col(f"`{source}`") for name, source in era.source_of.items()}
