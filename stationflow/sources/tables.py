@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DEFAULT_FORMAT = "parquet"
+COMMITS = "number long, version string, committed_at timestamp"
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
@@ -58,8 +59,9 @@ def commit_layer(spark: SparkSession, layer: str, version: str, fmt: str = DEFAU
 
 def _commits(spark: SparkSession, layer: str, fmt: str):
     """The last commit of a layer (of two at once, the later one), or None."""
-    try:
-        log = read_table(spark, f"{layer}/commits", fmt)
+    reader = spark.read.format(fmt)
+    try:  # naming the columns of plain files saves a look into them
+        log = (reader.schema(COMMITS) if fmt == DEFAULT_FORMAT else reader).load(f"{layer}/commits")
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
