@@ -264,3 +264,38 @@ def test_unify(spark):
     bike = spark.createDataFrame([(1, "a", 2.5), (1, "b", 3.5)], schema.format("predicted_bike_demand"))
     dock = spark.createDataFrame([(1, "b", 0.4), (2, "a", 1.0)], schema.format("predicted_dock_demand"))
     assert [tuple(r) for r in forecast.unify_forecasts(bike, dock).collect()] == [(1, "b", 4, 0)]
+
+
+def test_trees_read_the_rows_they_draw(spark, tmp_path):
+    write_table(spark.range(20000), str(tmp_path / "rows"))
+    rows = read_table(spark, str(tmp_path / "rows"))
+    drawn = training.draw_rows(rows, trees=50, rate=0.02, seed=3)
+    assert drawn.count() == pytest.approx(20000, rel=0.05)  # 50 trees of 400 rows each, not 50 of 20,000
+    sizes = {r["tree"]: r["count"] for r in drawn.groupBy("tree").count().collect()}
+    assert set(sizes) == set(range(50)) and all(300 < n < 500 for n in sizes.values())
+    often = {r["n"]: r["count"] for r in drawn.groupBy("id", "tree").count().withColumnRenamed("count", "n").groupBy("n").count().collect()}
+    assert often[2] == pytest.approx(50 * 20000 * 0.02**2 / 2, rel=0.3)
+    much = training.draw_rows(rows.filter("id < 200"), trees=60, rate=10.0, seed=3)
+    assert much.count() == pytest.approx(120000, rel=0.02) and much.select("id").distinct().count() == 200
+
+
+def test_forest_of_single_trees(spark, lake, tmp_path):
+    gold = medallion.read_gold(spark, lake).select("final_features", "bike_demand")
+    forest = training.random_forest("bike_demand", "p", SMALL)
+    model = training.fit(forest, gold)
+    assert len(model.trees) == 5 and model.numFeatures == 30 and len({t.toDebugString.split("\n", 1)[1] for t in model.trees}) == 5
+    model.save(str(tmp_path / "model"))
+    loaded = training.RandomForestRegressionModel.load(str(tmp_path / "model")).setPredictionCol("again")
+    assert loaded.transform(model.transform(gold)).filter("p <> again").isEmpty()
+    # a tree of two rows predicts their mean, as a node needs five; one that drew no row predicts 0
+    few = training.fit_forest(forest, training.draw_for(forest, gold).filter("tree > 0").union(gold.limit(2).withColumn("tree", F.lit(0))))
+    assert few.trees[0].predict(gold.first()[0]) == pytest.approx(gold.limit(2).agg(F.avg("bike_demand")).first()[0])
+    none = training.fit_forest(forest, training.draw_for(forest, gold).filter("tree > 0"))
+    assert [t.numNodes for t in none.trees][0] == 1 and none.trees[0].predict(gold.first()[0]) == 0
+
+
+def test_a_forest_predicts_as_well_as_mllibs_own(spark, lake):
+    gold = medallion.read_gold(spark, lake).select("final_features", (vector_to_array("final_features")[29] * 20 + vector_to_array("final_features")[0]).alias("bike_demand"))
+    forest = training.random_forest("bike_demand", "p", training.TreeSettings(num_trees=12, max_depth=6, subsampling_rate=0.2, min_instances_per_node=5))
+    ours, own = (evaluate(m.transform(gold), "bike_demand", "p").first().r2 for m in (training.fit(forest, gold), forest.fit(gold)))
+    assert ours > 0.8 and abs(ours - own) < 0.1
