@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stationflow.llm.common import bounded_batches, id_and_text, mix, pieces, stored, unused_prefix
+from stationflow.llm.common import PIECE_BYTES, bounded_batches, id_and_text, mix, pieces, stored, unused_prefix
 
 BUCKETS = 1 << 16
 SWITCH_PENALTY = 10.0
@@ -33,6 +33,8 @@ WRONG_SCRIPT = -1e4
 UNKNOWN = "und"
 #: Share of the training rows that a language must have to be learned.
 LEAST_SHARE = 1 / 200
+#: Scores (words times languages) held at once.
+MOST_SCORES = 1 << 26
 
 #: First code point of each range, and its script.
 SCRIPTS = [
@@ -111,11 +113,11 @@ def held_out(doc_id="doc_id"):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % 5 == 0
 
 
-def fit(docs: DataFrame) -> Model:
+def fit(docs: DataFrame, least_share: float = LEAST_SHARE) -> Model:
     """Counts over the training rows (text and lang not null, not held out).
 
-    A language is learned if LEAST_SHARE of these rows or more have it, so there are 1 / LEAST_SHARE at most, and the model has a
-    bounded size whatever else the column holds.
+    A language is learned if `least_share` of these rows or more have it, so there are 1 / least_share at most, and the model has a
+    bounded size whatever else the column holds. With 0 every value of the column is learned, and each takes 262 KB.
     """
     bounded_batches(docs.sparkSession)
     width = BUCKETS + len(NAMES)
@@ -143,10 +145,11 @@ def fit(docs: DataFrame) -> Model:
         yield from out()
 
     rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", F.col("lang").cast("string").alias("lang"))
-    per_lang = stored(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
-    total = per_lang.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    known = [r.lang for r in per_lang.where(F.col("n") >= LEAST_SHARE * total).select("lang").collect()]
-    rows = rows.where(F.col("lang").isin(known)) if known else rows.limit(0)
+    if least_share:
+        per_lang = stored(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+        total = per_lang.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        known = [r.lang for r in per_lang.where(F.col("n") >= least_share * total).select("lang").collect()]
+        rows = rows.where(F.col("lang").isin(known)) if known else rows.limit(0)
     counts = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(counts["lang"].unique().tolist())
     table = np.zeros((len(languages), width))
@@ -156,8 +159,11 @@ def fit(docs: DataFrame) -> Model:
     words = table[:, BUCKETS:]
     uses = np.where(words >= SCRIPT_SHARE * words.sum(axis=1, keepdims=True), 0.0, WRONG_SCRIPT)
     uses[:, uses.max(axis=0, initial=WRONG_SCRIPT) < 0] = 0.0  # a script that nobody uses narrows nothing
-    smooth = table[:, :BUCKETS] + SMOOTHING
-    return Model(languages, np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32), uses.T.astype(np.float32))
+    scores = np.empty((len(languages), BUCKETS), np.float32)
+    for k, own in enumerate(table):
+        smooth = own[:BUCKETS] + SMOOTHING
+        scores[k] = np.log(smooth / smooth.sum())
+    return Model(languages, scores, uses.T.astype(np.float32))
 
 
 def viterbi(scores: np.ndarray, row: np.ndarray, rows: int, penalty: float) -> np.ndarray:
@@ -228,7 +234,9 @@ def identify(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY, pre
     kinds = [pa.string(), pa.float64(), pa.list_(span)]
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        # a word has two bytes or more
+        most = min(PIECE_BYTES, 2 * MOST_SCORES // max(len(held.value.languages), 1))
+        for batch in pieces(batches, most):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for column, kind, name in zip(label(texts, held.value, penalty), kinds, new, strict=True):
                 batch = batch.append_column(name, pa.array(column, kind))
@@ -239,8 +247,8 @@ def identify(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY, pre
 
 
 def predict(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score and number of spans of every row, by a model of the training rows."""
-    found = identify(id_and_text(docs), fit(docs))
+    """doc_id, held_out, lang_pred, score and number of spans of every row, by a model of the training rows and all their languages."""
+    found = identify(id_and_text(docs), fit(docs, least_share=0))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", F.size("lang_spans").cast("long").alias("n_spans"))
 
 

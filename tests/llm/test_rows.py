@@ -315,6 +315,13 @@ def test_rare_values_of_lang_are_not_learned(spark):
     assert language_id.fit(spark.createDataFrame(rows, DOCS)).languages == ["en"]
 
 
+def test_rare_languages_are_learned_for_predictions(spark):
+    rare = "\u043f\u0440\u0438\u0432\u0435\u0442 \u043c\u0438\u0440"
+    rows = [(i, rare if i % 400 == 0 else f"plain words number {i}", "ru" if i % 400 == 0 else "en", None, None) for i in range(2000)]
+    found = {r.doc_id: r.lang_pred for r in language_id.predict(spark.createDataFrame(rows, DOCS)).collect()}
+    assert found == {i: "ru" if i % 400 == 0 else "en" for i in range(2000)}  # five rows of 2,000
+
+
 def test_rolling_hashes_depend_on_the_gram_alone():
     text = "abcdefghijklmnop"
     alone = {g: int(winnowing.winnow([g], 10, 24)[0][0][0]) for g in (text[i : i + 10] for i in range(7))}
