@@ -4,6 +4,7 @@ import pytest
 
 from stationflow.operators import demand, stations, trips
 from stationflow.plans import medallion
+from stationflow.plans.catalog import QUERIES
 from stationflow.session import fresh_path
 from stationflow.sources import testbed
 from stationflow.sources.tables import read_layer, write_layer
@@ -57,3 +58,7 @@ def test_no_python_in_plan(spark, sf_dir, name):
 
     plan = plan_of(QUERIES[name](spark, sf_dir))
     assert "Python" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan
+
+
+def test_silver_of_the_features_is_worked_out_once(spark, sf_dir):
+    assert "Exchange" not in plan_of(QUERIES["feature_model_roundtrip"](spark, sf_dir))
