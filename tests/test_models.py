@@ -299,3 +299,16 @@ def test_a_forest_predicts_as_well_as_mllibs_own(spark, lake):
     forest = training.random_forest("bike_demand", "p", training.TreeSettings(num_trees=12, max_depth=6, subsampling_rate=0.2, min_instances_per_node=5))
     ours, own = (evaluate(m.transform(gold), "bike_demand", "p").first().r2 for m in (training.fit(forest, gold), forest.fit(gold)))
     assert ours > 0.8 and abs(ours - own) < 0.1
+
+
+def test_a_task_takes_bounded_rows(spark, tmp_path, monkeypatch):
+    write_table(spark.range(5000).select((F.col("id") % 2).alias("x")).coalesce(1), str(tmp_path / "rows"))
+    rows = read_table(spark, str(tmp_path / "rows"))
+    assert training.in_bounded_partitions(rows) is rows
+    monkeypatch.setattr(training, "ROWS_PER_TASK", 1000)
+    sizes = [r["count"] for r in training.in_bounded_partitions(rows).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 5 and max(sizes) <= 1001
+    tasks = []
+    monkeypatch.setattr(training.GBTRegressor, "fit", lambda self, data: tasks.append(data.rdd.getNumPartitions()))
+    training.fit(training.gradient_boosted("x", "p", SMALL), rows)
+    assert tasks == [5]
