@@ -62,5 +62,6 @@ def stream_hourly_demand(
 def streamed_hourly_demand(spark: SparkSession, out: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
     """The demand as of the last batch: of each hour what the last batch that changed it wrote."""
     rows = read_table(spark, f"{out}/*", fmt)
-    last = F.max_by(F.struct("bike_demand", "dock_demand"), "batch").alias("last")
-    return rows.groupBy("station_id", "time", "unmatched_side").agg(last).select("station_id", "time", "last.*")
+    # One maximum a column, as their buffers are numbers and so hashed; a struct's would be sorted. A batch has an hour once.
+    last = [F.max_by(c, "batch").alias(c) for c in ("bike_demand", "dock_demand")]
+    return rows.groupBy("station_id", "time", "unmatched_side").agg(*last).drop("unmatched_side")

@@ -1,7 +1,9 @@
 """The layer jobs from CSV files on, and the query catalog against its SQL."""
 
+from datetime import datetime
 from functools import reduce
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,13 +11,14 @@ from pyspark.sql import functions as F
 from stationflow.__main__ import main as command_line
 from stationflow.operators import demand
 from stationflow.plans import medallion
-from stationflow.plans.catalog import QUERIES
+from stationflow.plans.catalog import QUERIES, TRIP_FILE_OPTIONS
 from stationflow.plans.oracles import ORACLES
 from stationflow.session import build_session, fresh_path, sees_skew, shared_folder
 from stationflow.sources import testbed
-from stationflow.sources.tables import layer_version, read_layer, read_table, write_layer
+from stationflow.sources.tables import layer_version, read_layer, read_table, write_layer, write_table
 from stationflow.streaming.demand import stream_hourly_demand, streamed_hourly_demand
 from tests.check_oracles import compare, duck
+from tests.conftest import rows
 
 ERA_1_FILE = """h,h,h,h,h,h,h,h,h,h,h,h,h,h,h
 60,1/1/2015 0:01,1/1/2015 0:09,10,Ten,40.1,-73.1,20,Twenty,40.2,-73.2,1,Subscriber,1980,1
@@ -203,6 +206,34 @@ def test_a_stream_goes_on_where_it_stopped(spark, tmp_path):
     rows.unpersist()
 
 
+def test_the_last_batch_of_an_hour_is_found_without_a_sort(spark, tmp_path):
+    schema = "station_id int, time timestamp, unmatched_side boolean, bike_demand long, dock_demand long, batch long"
+    hour = datetime(2024, 5, 1, 8)
+    batches = {0: [(0, None, 1, 0), (0, True, 4, 0), (7, None, 2, 5)], 1: [(7, None, 3, 5)], 10: [(0, True, 6, 0), (7, None, 3, 9)]}
+    for batch, hours in batches.items():
+        written = [(station, hour, side, bikes, docks, batch) for station, side, bikes, docks in hours]
+        spark.createDataFrame(written, schema).write.parquet(str(tmp_path / f"batch={batch}"))
+    found = streamed_hourly_demand(spark, str(tmp_path))
+    assert rows(found) == [(0, hour, 1, 0), (0, hour, 6, 0), (7, hour, 3, 9)]
+    assert found.columns == ["station_id", "time", "bike_demand", "dock_demand"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_several_tasks_can_read_a_trip_file(spark, tmp_path):
+    some = spark.range(2_000_000).select(
+        F.timestamp_seconds(F.col("id") * 7919 % 100_000_007).alias("start_time"),
+        F.timestamp_seconds(F.col("id") * 7907 % 100_000_007).alias("end_time"),
+        (F.col("id") % 500).cast("int").alias("start_station_id"),
+        (F.col("id") % 499).cast("int").alias("end_station_id"),
+        F.col("id").alias("row_number"),
+    )
+    write_table(some.coalesce(1), str(tmp_path / "trips"), options=TRIP_FILE_OPTIONS)
+    (file,) = (tmp_path / "trips").glob("*.parquet")
+    groups = pq.ParquetFile(file).metadata
+    assert groups.num_rows == 2_000_000 and groups.num_row_groups > 1
+
+
 def test_testbed_covers_all_formats_and_eras(spark, sf_dir):
     months = testbed.published(testbed.trips(spark, sf_dir)).select("file_name").distinct()
     assert months.filter("file_name LIKE '202108%'").count() == 1
