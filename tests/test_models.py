@@ -147,6 +147,24 @@ def test_walked_trees_split_by_categories(spark, tmp_path):
     assert walked.agg(F.max(F.abs(F.col("walked") - F.col("prediction")))).first()[0] < 1e-9
 
 
+@pytest.mark.parametrize("kinds, lists", [(2, False), (5, True)])
+def test_walks_move_down_several_levels_for_a_join(spark, tmp_path, kinds, lists):
+    rows = spark.range(3000).select((F.col("id") % kinds).cast("double").alias("c"), (F.hash("id") % 991).cast("double").alias("x"))
+    rows = rows.withColumn("y", F.when(F.col("c").isin(1.0, 3.0), 500).otherwise(0) + F.col("x"))
+    assembled = VectorAssembler(inputCols=["c", "x"], outputCol="v").transform(rows)
+    data = VectorIndexer(inputCol="v", outputCol="features", maxCategories=5).fit(assembled).transform(assembled)
+    model = RandomForestRegressor(labelCol="y", numTrees=3, maxDepth=14, maxBins=900, seed=1, featureSubsetStrategy="all").fit(data)
+    model.save(str(tmp_path / "model"))
+    deepest, nodes = max(t.depth for t in model.trees), trees.node_table(spark, str(tmp_path / "model"))
+    flat = trees._flat(nodes)
+    assert flat.agg(F.max("levels")).first()[0] == deepest > 8
+    assert flat.filter(F.exists("categories", lambda c: c.isNotNull())).isEmpty() != lists
+    walked = trees.walk(data, nodes, "features", "walked", average=True)
+    plan = spark._jvm.PythonSQLUtils.explainString(walked._jdf.queryExecution(), "simple")
+    assert 0 < sum("Join" in line for line in plan.splitlines()) <= 1 + math.ceil(deepest / 8)  # the last joins the sums; one for each level before
+    assert model.transform(walked).agg(F.max(F.abs(F.col("walked") - F.col("prediction")))).first()[0] < 1e-9
+
+
 def test_keyed_split_ignores_partitioning(spark):
     def assigned(df):
         return {r.id: r.split for r in training.keyed_split(df, ["id"]).collect()}
