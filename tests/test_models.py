@@ -165,6 +165,27 @@ def test_walks_move_down_several_levels_for_a_join(spark, tmp_path, kinds, lists
     assert model.transform(walked).agg(F.max(F.abs(F.col("walked") - F.col("prediction")))).first()[0] < 1e-9
 
 
+def test_models_predict_from_dense_vectors(spark, lake, trained):
+    silver = read_layer(spark, lake.layer("silver"))
+    run = jobs.latest_run(spark, lake, "random_forest")
+
+    class Seen:
+        def __init__(self, name):
+            self.name, self.kinds = name, None
+
+        def transform(self, df):
+            self.kinds = {type(r.final_features).__name__ for r in df.select("final_features").limit(50).collect()}
+            return df.withColumn(self.name, F.lit(0.0))
+
+    models = [Seen(p) for p in forecast.PREDICTIONS]
+    loaded = medallion.load_features(lake, run.features)
+    assert forecast.score(encode_cycles(silver), loaded, *models).count() == silver.count()
+    assert [m.kinds for m in models] == [{"DenseVector"}] * 2
+    gold = medallion.read_gold(spark, lake).limit(200)
+    both = gold.select(vector_to_array("final_features").alias("a")).exceptAll(features.dense(gold).select(vector_to_array("final_features")))
+    assert both.isEmpty()
+
+
 def test_keyed_split_ignores_partitioning(spark):
     def assigned(df):
         return {r.id: r.split for r in training.keyed_split(df, ["id"]).collect()}
